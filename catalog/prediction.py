@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import day, fx, query, ts
+from catalog.base import day, dec, fx, query, ts
 from moodtide import config
 from moodtide.operators import evaluation, prices
 from moodtide.plans import backtest, labeling, learning
@@ -213,26 +213,31 @@ def text_model_eval(desk: Desk):
     return learning.text_model_eval(desk.article_labels(), desk.texts())
 
 
-def forest_predictions(desk: Desk):
-    return learning.walk_forward_predict(features(desk))
-
-
 @query("walk_forward_predict")
 def walk_forward_predict(desk: Desk):
-    return forest_predictions(desk)
+    return learning.walk_forward_predict(features(desk))
 
 
-@query("prediction_summary")
+@query("prediction_summary", f"""
+ SELECT market, CASE market WHEN 'TW' THEN '0050 元大台灣50' ELSE 'VOO Vanguard S&P 500 ETF' END AS display_name,
+  {fx("avg(CASE WHEN true_up = pred THEN 1.0 ELSE 0.0 END)")} AS accuracy,
+  {fx("log10(arg_max(strategy_cumulative_return, date))")} AS strategy_log10,
+  {fx("arg_max(buy_and_hold_return, date)")} AS buy_and_hold_return, count(*) AS sample_days FROM v_curve GROUP BY 1, 2""")
 def prediction_summary(desk: Desk):
-    return learning.prediction_summary(forest_predictions(desk)).withColumn(
-        "strategy_cumulative_return", F.log10("strategy_cumulative_return")).withColumn("excess_return", F.signum("excess_return"))
+    """What the service shows for stored predictions."""
+    s = learning.prediction_summary(rule_predictions(desk))
+    return s.select("market", "display_name", "accuracy", F.log10("strategy_cumulative_return").alias("strategy_log10"),
+                    "buy_and_hold_return", "sample_days")
 
 
-@query("prediction_runs")
+@query("prediction_runs", f"""
+ SELECT market, '2024-02-01 00:00:00.000000' AS run_at,
+  CAST({dec("avg(CASE WHEN true_up = pred THEN 1.0 ELSE 0.0 END)", 5, 4)} AS DOUBLE) AS accuracy,
+  {fx("arg_max(buy_and_hold_return, date)", 4)} AS buy_and_hold_return, count(*) AS sample_days FROM v_curve GROUP BY 1""")
 def prediction_runs(desk: Desk):
     """One history row per market, appended to a table."""
     from moodtide.session import shared_dir
     path = shared_dir(desk.spark, "runs")
     summary = backtest.backtest_summary(curve(desk))
     learning.prediction_run(summary, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
-    return desk.spark.read.parquet(path)
+    return desk.spark.read.parquet(path).drop("strategy_cumulative_return")  # may exceed its stored number format

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodtide import config
+from moodtide.functions.numbers import numeric
 from moodtide.functions.text import full_text
 from moodtide.operators import evaluation, merge
 from moodtide.plans import backtest, labeling
@@ -79,7 +80,7 @@ def store_scores(stored: DataFrame, new: DataFrame) -> DataFrame:
 # -- walk-forward prediction --------------------------------------------------------------------
 def _forest() -> RandomForestClassifier:
     return RandomForestClassifier(labelCol="next_day_up", featuresCol="x", numTrees=100, maxDepth=30, seed=42,
-                                  featureSubsetStrategy="sqrt", minInstancesPerNode=1)
+                                  featureSubsetStrategy="sqrt", minInstancesPerNode=1, cacheNodeIds=True)
 
 
 def walk_forward_predict(feats: DataFrame, parallelism: int = 8) -> DataFrame:
@@ -125,12 +126,16 @@ def walk_forward_predict(feats: DataFrame, parallelism: int = 8) -> DataFrame:
 
 
 def prediction_summary(predictions: DataFrame) -> DataFrame:
-    return backtest.backtest_summary(backtest.backtest_curve(predictions))
+    """Final figures per market with the instrument's name."""
+    names = {m: f"{symbol} {name}" for _, symbol, name in config.STOCKS
+             for m, s in config.MARKET_INSTRUMENT.items() if s == symbol}
+    return backtest.backtest_summary(backtest.backtest_curve(predictions)).withColumn(
+        "display_name", config.lookup(F.col("market"), names))
 
 
 def prediction_run(summary: DataFrame, run_at: Column) -> DataFrame:
     """History rows of a run, in the stored number formats."""
     return summary.select(
-        "market", run_at.alias("run_at"), F.col("accuracy").cast("decimal(5,4)").alias("accuracy"),
+        "market", run_at.alias("run_at"), numeric(F.col("accuracy"), 5, 4).alias("accuracy"),
         F.col("strategy_cumulative_return").try_cast("decimal(10,4)").alias("strategy_cumulative_return"),
         F.col("buy_and_hold_return").try_cast("decimal(10,4)").alias("buy_and_hold_return"), "sample_days")
