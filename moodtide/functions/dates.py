@@ -45,24 +45,15 @@ def parse_iso(text: Column, *, plain_clock: bool = True, date_only: bool = True)
 
     ``plain_clock`` also accepts a clock without zone mark, ``date_only`` a bare day.
     """
-    zone = rf"(?:{_OFFSET})"
-    clock = rf"^([0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}})T([0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}){_FRACTION}?{zone}$"
-    readings = [_from_parts(text, clock)]
+    zoned = F.regexp_extract(text, rf"^([0-9-]+T[0-9:]+{_FRACTION}?)(?:{_OFFSET})$", 1)
+    readings = [F.try_to_timestamp(zoned, F.lit("yyyy-M-d'T'H:m:s[.SSSSSS]"))]
     if plain_clock:
-        readings.append(_from_parts(
-            text, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[T ]([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})()$"))
+        readings += [F.try_to_timestamp(text, F.lit("yyyy-M-d'T'H:m:s")), F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s"))]
     if date_only:
-        day = F.regexp_extract(text, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})$", 1)
-        readings.append(F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("yyyy-M-d")))
+        readings.append(F.try_to_timestamp(text, F.lit("yyyy-M-d")))
     return F.coalesce(*readings)
 
 
-def _from_parts(text: Column, pattern: str) -> Column:
-    part = lambda i: F.regexp_extract(text, pattern, i)
-    whole = F.concat(part(1), F.lit(" "), part(2), F.lit("."), F.rpad(part(3), 6, "0"))
-    return F.when(text.rlike(pattern), F.try_to_timestamp(whole, F.lit("yyyy-M-d H:m:s.SSSSSS")))
-
-
 def parse_date_by_source(text: Column, source: Column) -> Column:
     """Raw date text, read the way the named source writes it; other text falls through to ISO."""
     day_clock = rf"^{_DAY}[T ]{_CLOCK}"

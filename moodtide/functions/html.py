@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodtide.functions.text import strip
 
@@ -26,8 +27,11 @@ VOID_TAGS = frozenset(  # fixed values: tags that never have content
     "area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset(["script", "style", "template"])  # fixed values: text that is never shown
 
-OUTLINE_TYPE = ("struct<tags:array<struct<tag:string,attrs:map<string,string>,pos:int,stop:int,lo:int,hi:int>>,"
-                "texts:array<string>,silent:array<string>>")
+_TAG = T.StructType([
+    T.StructField("tag", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+    *[T.StructField(n, T.IntegerType()) for n in ("pos", "stop", "lo", "hi")]])
+OUTLINE_TYPE = T.StructType([T.StructField("tags", T.ArrayType(_TAG)),
+                             *[T.StructField(n, T.ArrayType(T.StringType())) for n in ("texts", "silent")]])
 
 
 def outline_one(body: str) -> dict:
@@ -125,7 +129,7 @@ class Page:
 
     def paragraphs(self, nodes: Column) -> Column:
         """Texts of the given tags, one line each, empty ones left out."""
-        return F.array_join(F.filter(F.transform(nodes, self.text), lambda x: x != ""), "\n")
+        return F.array_join(F.filter(F.transform(nodes, lambda t: self.text(t)), lambda x: x != ""), "\n")
 
     def script_text(self, node: Column) -> Column:
         return F.array_join(F.slice(self.silent, node["lo"] + 1, node["hi"] - node["lo"]), "")

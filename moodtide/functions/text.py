@@ -83,8 +83,7 @@ def at_least(text: Column, chars: int) -> Column:
 def strip_title_suffix(title: Column) -> Column:
     """Cut the publisher's name off a page title, one suffix after the other."""
     for suffix in TITLE_SUFFIXES:
-        shorter = strip(F.substring(title, F.lit(1), F.length(title) - len(suffix)))
-        title = F.when(title.endswith(suffix), shorter).otherwise(title)
+        title = F.regexp_replace(title, rf"{_BLANK}*\Q{suffix}\E\z", "")
     return title
 
 

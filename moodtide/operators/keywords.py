@@ -22,7 +22,7 @@ def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS,
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     pairs = F.when(F.size("w") > 1, F.transform(
         F.sequence(F.lit(1), F.size("w") - 1),
-        lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))).otherwise(
+        lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))).otherwise(
         F.array().cast("array<string>"))
     terms = docs.select(F.col(doc_id).alias("doc"), words.alias("w")).select(
         "doc", F.explode(F.concat("w", pairs)).alias("term"))

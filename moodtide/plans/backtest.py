@@ -96,7 +96,7 @@ def with_folds(feats: DataFrame) -> DataFrame:
 def walk_forward_folds(feats: DataFrame) -> DataFrame:
     """Folds with their train and test sizes; folds without test days do not appear."""
     days = with_folds(feats).where("fold > 0")
-    start = F.element_at("starts", F.col("fold"))
+    start = F.get("starts", F.col("fold") - 1)
     return (days.groupBy("market", (F.col("fold") - 1).alias("fold"), start.alias("train_end"),
                          F.add_months(start, FOLD_MONTHS).alias("test_end"))
             .agg(F.count(F.lit(1)).alias("test_days"), (F.min("day_no") - 1).alias("train_days"))

@@ -114,12 +114,9 @@ def archive_index_rows(documents: DataFrame, pattern: Column, body: str = "body"
     parsed = documents.select(*keep, pattern.alias("pattern"), table.alias("t")).where("size(t) > 1").select(
         *keep, "pattern", F.get("t", F.lit(0)).alias("header"),
         F.posexplode(F.slice("t", F.lit(2), F.size("t"))).alias("position", "row"))
-    at = lambda name: F.array_position("header", name).cast("int")
-    rows = parsed.where((at("timestamp") > 0) & (at("original") > 0)
-                        & (F.size("row") >= F.greatest(at("timestamp"), at("original"))))
-    return rows.select(*keep, "position", F.element_at("row", at("timestamp")).alias("timestamp"),
-                       F.element_at("row", at("original")).alias("original"), "pattern").where(
-        F.rlike("original", F.col("pattern"))).drop("pattern")
+    cell = lambda name: F.get("row", F.array_position("header", name).cast("int") - 1).alias(name)
+    rows = parsed.select(*keep, "position", cell("timestamp"), cell("original"), "pattern")
+    return rows.where(F.col("timestamp").isNotNull() & F.rlike("original", F.col("pattern"))).drop("pattern")
 
 
 def earliest_snapshots(rows: DataFrame, known: DataFrame, order: list[str]) -> DataFrame:

@@ -22,11 +22,13 @@ def raw_articles(articles: DataFrame, source_name: Column, ingested_at: Column)
                            ingested_at.alias("ingested_at"))
 
 
-def raw_scores(scores: DataFrame, ingested_at: Column) -> DataFrame:
-    """Raw score rows keyed by the article key the scorer was given, else by its URL."""
-    key = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("article_id_raw", "url") if c in scores.columns])
-    return scores.select(key.alias("article_id_raw"), F.to_json(F.struct(*scores.columns), _KEEP_NULLS)
-                         .alias("raw_payload"), ingested_at.alias("ingested_at"))
+def raw_scores(scores: DataFrame, ingested_at: str) -> DataFrame:
+    """Raw score rows keyed by the article key the scorer was given, else by its URL. ``ingested_at`` names a column
+    that is not part of the payload."""
+    fields = [f for f in scores.columns if f != ingested_at]
+    key = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("article_id_raw", "url") if c in fields])
+    return scores.select(key.alias("article_id_raw"), F.to_json(F.struct(*fields), _KEEP_NULLS).alias("raw_payload"),
+                         F.col(ingested_at).alias("ingested_at"))
 
 
 def append(df: DataFrame, path: str) -> None:

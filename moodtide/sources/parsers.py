@@ -145,32 +145,36 @@ def forum_post(posts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 # -- news pages ------------------------------------------------------------------------------------
+# Each job first takes the texts it needs out of the outline, one column per text, and reads them afterwards: the
+# expressions that walk the tag list then stand in the plan once.
 def news_page(documents: DataFrame, source: str, body: str = "raw_html", keep: tuple[str, ...] = ()) -> DataFrame:
     """Title, text and time of a stored page, each null when not found."""
     page = Page()
     parse = lambda c: dates.parse_iso(c, date_only=False)
-    title = F.coalesce(_filled(text.strip(page.meta("property", "og:title"))),
-                       _filled(page.text(page.first(is_tag("h1")))))
-    metas = [parse(page.meta(attribute, name)) for attribute in ("property", "name") for name in REPAIR_DATE_METAS]
-    published = F.coalesce(*metas, _ld_json_dates(page, parse, ["datePublished", "dateCreated"], lists=False))
-    return documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, title.alias("title"),
-        _filled(_body_text(page, source, every_article=False, retry_empty=True)).alias("content"),
-        published.cast("timestamp_ntz").alias("published_at"))
+    metas = [page.meta(attribute, name) for attribute in ("property", "name") for name in REPAIR_DATE_METAS]
+    found = documents.withColumn("doc", outline(F.col(body))).select(
+        *keep, text.strip(page.meta("property", "og:title")).alias("_og"), page.text(page.first(is_tag("h1"))).alias("_h1"),
+        _body_text(page, source, every_article=False, retry_empty=True).alias("_body"),
+        F.array_compact(F.array(*metas)).alias("_metas"),
+        _ld_json_dates(page, parse, ["datePublished", "dateCreated"], lists=False).alias("_ld"))
+    return found.select(
+        *keep, F.coalesce(_filled(F.col("_og")), _filled(F.col("_h1"))).alias("title"), _filled(F.col("_body")).alias("content"),
+        F.coalesce(_first_readable(F.col("_metas"), parse), "_ld").cast("timestamp_ntz").alias("published_at"))
 
 
 def full_page(documents: DataFrame, source: str = "cnn", body: str = "raw_html", url: str = "url",
               keep: tuple[str, ...] = ()) -> DataFrame:
     """Page fetched for a bare sitemap address; short texts drop out, a missing title is taken from the address."""
     page = Page()
-    parse = lambda c: dates.parse_iso(c, plain_clock=False)
-    og = _filled(page.meta("property", "og:title"))
-    title = F.when(og.isNotNull(), text.strip(og)).otherwise(page.text(page.first(is_tag("title"))))
-    rows = documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, F.coalesce(_filled(title), text.last_path_segment(F.col(url))).alias("title"),
+    found = documents.withColumn("doc", outline(F.col(body))).select(
+        *keep, F.col(url).alias("_url"), _filled(page.meta("property", "og:title")).alias("_og"),
+        page.text(page.first(is_tag("title"))).alias("_title"),
         _body_text(page, source, every_article=True, retry_empty=False).alias("content"),
-        parse(page.meta("property", "article:published_time")).cast("timestamp_ntz").alias("published_at"))
-    return rows.where(text.at_least(F.col("content"), FULL_PAGE_MIN).isNotNull())
+        page.meta("property", "article:published_time").alias("_at"))
+    title = F.when(F.col("_og").isNotNull(), text.strip(F.col("_og"))).otherwise(F.col("_title"))
+    return found.where(F.length("content") >= FULL_PAGE_MIN).select(
+        *keep, F.coalesce(_filled(title), text.last_path_segment(F.col("_url"))).alias("title"), "content",
+        dates.parse_iso(F.col("_at"), plain_clock=False).cast("timestamp_ntz").alias("published_at"))
 
 
 def archive_page(documents: DataFrame, body: str = "raw_html", stamp: str = "timestamp", url: str = "original",
@@ -178,28 +182,32 @@ def archive_page(documents: DataFrame, body: str = "raw_html", stamp: str = "tim
     """Article from an archive snapshot; a missing title, text or time drops the page."""
     page = Page()
     parse = lambda c: dates.parse_iso(text.strip(c))
-    title = F.coalesce(
-        _filled(text.strip(page.meta("property", "og:title"))), _filled(text.strip(page.meta("name", "title"))),
-        _filled(page.text(page.first(is_tag("h1")))),
-        _filled(text.strip_title_suffix(page.text(page.first(is_tag("title"))))))
-
     article = page.first(is_tag("article"))
     box = page.first(lambda t: (t["tag"] == "div") & attr(t, "class").rlike(ARCHIVE_CONTAINER))
     paragraphs = F.when(article.isNotNull(), page.inside(article, is_tag("p"))).when(
         box.isNotNull(), page.inside(box, is_tag("p"))).otherwise(page.all(is_tag("p")))
-
     clock = page.first(is_tag("time"))
     # For one name the property form wins over the name form, even when its date cannot be read.
-    metas = [parse(F.coalesce(_first_meta(page, "property", n), _first_meta(page, "name", n)))
-             for n in ARCHIVE_DATE_METAS]
-    published = F.coalesce(
-        *metas, parse(F.coalesce(_filled(attr(clock, "datetime")), page.text(clock))),
-        _ld_json_dates(page, parse, ["datePublished"], lists=True),
-        dates.date_from_url(F.col(url)), dates.snapshot_stamp(F.col(stamp)))
-    rows = documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, title.alias("title"), text.at_least(page.paragraphs(paragraphs), ARCHIVE_MIN).alias("content"),
-        urls.canonical_url(F.col(url)).alias("url"), published.cast("timestamp_ntz").alias("published_at"))
-    return rows.where("title IS NOT NULL AND content IS NOT NULL AND published_at IS NOT NULL")
+    metas = [F.coalesce(_first_meta(page, "property", n), _first_meta(page, "name", n)) for n in ARCHIVE_DATE_METAS]
+    found = documents.withColumn("doc", outline(F.col(body))).select(
+        *keep, F.col(url).alias("_url"), F.col(stamp).alias("_stamp"),
+        text.strip(page.meta("property", "og:title")).alias("_og"), text.strip(page.meta("name", "title")).alias("_meta"),
+        page.text(page.first(is_tag("h1"))).alias("_h1"), page.text(page.first(is_tag("title"))).alias("_title"),
+        page.paragraphs(paragraphs).alias("content"),
+        F.array_compact(F.array(*metas, F.coalesce(_filled(attr(clock, "datetime")), page.text(clock)))).alias("_dates"),
+        _ld_json_dates(page, parse, ["datePublished"], lists=True).alias("_ld"))
+    title = F.coalesce(_filled(F.col("_og")), _filled(F.col("_meta")), _filled(F.col("_h1")),
+                       _filled(text.strip_title_suffix(F.col("_title"))))
+    published = F.coalesce(_first_readable(F.col("_dates"), parse), F.col("_ld"), dates.date_from_url(F.col("_url")),
+                           dates.snapshot_stamp(F.col("_stamp")))
+    return found.where(F.length("content") >= ARCHIVE_MIN).select(
+        *keep, title.alias("title"), "content", urls.canonical_url(F.col("_url")).alias("url"),
+        published.cast("timestamp_ntz").alias("published_at")).where("title IS NOT NULL AND published_at IS NOT NULL")
+
+
+def _first_readable(texts: Column, parse) -> Column:
+    """First text of the array that is a date."""
+    return F.get(F.filter(F.transform(texts, lambda t: parse(t)), lambda d: d.isNotNull()), F.lit(0))
 
 
 def _first_meta(page: Page, attribute: str, name: str) -> Column:
