@@ -99,10 +99,10 @@ def sentiment_recent(mart: DataFrame, today: Column, period: int = 10) -> DataFr
 # -- articles --------------------------------------------------------------------------------
 def top_push(scored: DataFrame, limit: int = 10, period: int = 7, period_type: str = "day") -> DataFrame:
     """Most pushed articles of the last period before the newest one; ties by id."""
-    days = _bounded("article_period", period) * PERIOD_DAYS[period_type]
+    top, days = _bounded("limit", limit), _bounded("article_period", period) * PERIOD_DAYS[period_type]
     newest = scored.agg(F.max(F.to_date("Published_Time"))).scalar()
     recent = scored.where(F.to_date("Published_Time") >= F.date_sub(newest, days))
-    return (recent.orderBy(F.desc_nulls_last("Push_count"), "Article_id").limit(_bounded("limit", limit))
+    return (recent.orderBy(F.desc_nulls_last("Push_count"), "Article_id").limit(top)
             .select("Title", "Push_count", "Published_Time", "Url"))
 
 
