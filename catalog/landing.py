@@ -95,7 +95,7 @@ def sitemaps(desk: Desk):
     loc = text("https://www.wsj.com/articles/", c("event_id"))
     title = F.when(c("event_type") != "error", text(" ", c("event_type"), " &amp; ", c("user_id"), " "))
     day = text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), "+08:00")
-    return desk.table("events").select(
+    return desk.spread("events").select(
         text("https://s.example/", c("event_id"), ".xml").alias("url"), "event_id", "value",
         text(_NS, _entry(loc, title, day), _entry(text(loc, "/b"), F.lit("no date"), F.lit(None).cast("string")), "</urlset>").alias("body"))
 
@@ -161,7 +161,7 @@ def news_listings(desk: Desk):
     items = F.array(
         item(c("event_id") * 2 + 1, F.when(low, none).otherwise(body), F.when(low, body), at),
         item(c("event_id") * 2 + 2, body, none, F.lit(None).cast("bigint")))
-    return desk.table("events").select("event_id", "value", F.to_json(F.struct(F.struct(items.alias("data")).alias("items")),
+    return desk.spread("events").select("event_id", "value", F.to_json(F.struct(F.struct(items.alias("data")).alias("items")),
                                                             {"ignoreNullFields": "false"}).alias("body"))
 
 
@@ -192,7 +192,7 @@ def _post() -> Column:
 
 def forum_listings(desk: Desk):
     post = _post()
-    return desk.table("events").select(
+    return desk.spread("events").select(
         "event_id", F.to_json(F.struct(F.struct(F.array(F.struct(post.alias("data"))).alias("children"), F.lit("t3").alias("after"))
                                        .alias("data"))).alias("body"),
         F.to_json(F.struct(F.when(c("value") > 150, "too many requests").alias("error"), F.array(post).alias("data"))).alias("bulk"))
@@ -232,7 +232,7 @@ def index_answers(desk: Desk):
     body = (F.when(c("event_type") == "error", F.to_json(F.array(F.array(F.lit("urlkey"), F.lit("timestamp"), F.lit("original")))))
             .when(c("event_type") == "click", F.to_json(table("original", "timestamp", page, stamp)))
             .otherwise(F.to_json(table("timestamp", "original", stamp, page))))
-    return desk.table("events").select("event_id", text(" ", body, "\n").alias("body"))
+    return desk.spread("events").select("event_id", text(" ", body, "\n").alias("body"))
 
 
 _PATTERN = config.ARCHIVE_SOURCES["wayback_cnn"]["article_pattern"]

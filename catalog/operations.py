@@ -206,7 +206,7 @@ def stream_fact(desk: Desk):
 @query("sql_functions", """
  SELECT e.event_id, substr(sha256('change-me-in-production:user' || user_id), 1, 16) AS author_hash, s.market_code,
   CAST(CASE WHEN value >= 100 THEN 100 ELSE floor(value) END AS BIGINT) AS push_count,
-  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') AS published_at
+  strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S.%f') AS published_at, 'https://x.com/a/' || event_id || '?k=user' || user_id AS url
  FROM events e JOIN v_sources s ON s.kind = e.event_type""")
 def sql_functions(desk: Desk):
     """The registered SQL functions give the same values as the column rules."""
@@ -219,6 +219,7 @@ def sql_functions(desk: Desk):
         F.when(c("value") >= 100, "爆").otherwise(F.floor("value").cast("string")).alias("badge"))
     return rows.select("event_id", F.expr("pii_hash(author)").alias("author_hash"),
                        F.expr("market_for_source(source)").alias("market_code"), F.expr("push_decode(badge)").alias("push_count"),
-                       F.expr("parse_date_by_source(written, source)").alias("published_at"))
+                       F.expr("parse_date_by_source(written, source)").alias("published_at"),
+                       F.expr("canonical_url(concat('HTTP://X.com:80/a/', event_id, '/?src=1&k=', author))").alias("url"))
 
 

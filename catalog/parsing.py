@@ -29,7 +29,7 @@ def list_pages(desk: Desk):
                  c("user_id"), " </div></div></div>")
     gone = text('<div class="r-ent"><div class="nrec"></div><div class="title">(本文已被刪除) [', c("user_id"),
                 ']</div><div class="meta"><div class="author">-</div></div></div>')
-    return desk.table("events").select("event_id", text("<html><body><div class='r-list-container action-bar-margin'>", entry, gone,
+    return desk.spread("events").select("event_id", text("<html><body><div class='r-list-container action-bar-margin'>", entry, gone,
                                                         "</div></body></html>").alias("body"))
 
 
@@ -52,7 +52,7 @@ def post_pages(desk: Desk):
     push = text('<div class="push"><span class="hl push-tag">推 </span><span class="f3 hl push-userid">', c("role"),
                 '</span><span class="f3 push-content">: turn ', c("turn"), "</span></div>")
     cut = text('<div class="push"><span class="push-tag">→ </span><span class="push-userid">x</span></div>')
-    return desk.table("conversations").select("conv_id", "turn", text(
+    return desk.spread("conversations").select("conv_id", "turn", text(
         '<html><body><div id="main-container"><div id="main-content" class="bbs-screen bbs-content">', head, escaped(c("text")), tail, push, cut,
         "</div></div><div>outside</div></body></html>").alias("body"))
 
@@ -79,7 +79,7 @@ def landed_pages(desk: Desk):
     html = (F.when(c("url").contains("utm_source"), head(og)).when(c("url").contains("ref=x"), head(ld_list))
             .when(c("url").endswith(".html"), head(ld_one)).when(c("url").contains("#top"), clock).otherwise(c("html")))
     stamp = F.date_format(F.timestamp_seconds(F.lit(1420070400) + c("page_id") * 3600), "yyyyMMddHHmmss")
-    return desk.table("pages").select("page_id", "url", html.alias("raw_html"), stamp.alias("timestamp"), c("url").alias("original"))
+    return desk.spread("pages").select("page_id", "url", html.alias("raw_html"), stamp.alias("timestamp"), c("url").alias("original"))
 
 
 def _clean(x: str) -> str:
@@ -114,7 +114,7 @@ _ONE_AT, _CLOCK_AT = f"'2023-07-08 09:' || {_MIN} || ':11'", f"'2022-01-02 03:'
 
 @query("page_titles", f"SELECT page_id, {_H1} AS h1, {_TITLE} AS title FROM pages")
 def page_titles(desk: Desk):
-    return parsers.page_titles(desk.table("pages"), keep=("page_id",))
+    return parsers.page_titles(desk.spread("pages"), keep=("page_id",))
 
 
 @query("parse_news_html", f"""
@@ -169,7 +169,7 @@ def damaged_with_bodies(desk: Desk):
              "view": "https://www.reddit.com/r/stocks/comments/", "purchase": "https://edition.cnn.com/x/", "error": "https://www.wsj.com/articles/"}
     url = F.when(kind == "signup", text("https://www.ptt.cc/bbs/Stock/M.", seconds, ".A.", number, ".html")).otherwise(
         text(config.lookup(kind, forms), number, "/x"))
-    events = desk.table("events").withColumn("url", url)
+    events = desk.spread("events").withColumn("url", url)
     ids = {"signup": "1", "click": "2", "view": "3", "purchase": "4", "error": "5"}
     lost = lambda value, low, high: F.when(~c("value").between(low, high), value)
     articles = events.select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -34,62 +35,69 @@ OUTLINE_TYPE = T.StructType([T.StructField("tags", T.ArrayType(_TAG)),
                              *[T.StructField(n, T.ArrayType(T.StringType())) for n in ("texts", "silent")]])
 
 
-def outline_one(body: str) -> dict:
-    from html.parser import HTMLParser
+class _Walker(HTMLParser):
+    """Collects the tags and text pieces of one body after another."""
 
-    tags, texts, silent, open_tags = [], [], [], []
+    def start(self):
+        self.reset()
+        self.tags, self.texts, self.silent, self.open_tags = [], [], [], []
+        self.fresh = True  # the next data starts a new text piece
 
-    class Walker(HTMLParser):
-        fresh = True  # the next data starts a new text piece
+    def cut(self, *_):
+        self.fresh = True
 
-        def cut(self, *_):
-            self.fresh = True
+    handle_comment = handle_decl = handle_pi = unknown_decl = cut
 
-        handle_comment = handle_decl = handle_pi = unknown_decl = cut
+    def handle_starttag(self, tag, attrs):
+        self.fresh = True
+        at, text = len(self.tags), len(self.texts)
+        node = {"tag": tag, "attrs": {k: v or "" for k, v in attrs}, "pos": at, "stop": at + 1, "lo": text, "hi": text}
+        self.tags.append(node)
+        if tag not in VOID_TAGS:
+            self.open_tags.append(node)
 
-        def handle_starttag(self, tag, attrs):
-            self.cut()
-            node = {"tag": tag, "attrs": {k: v or "" for k, v in attrs}, "pos": len(tags), "stop": len(tags) + 1,
-                    "lo": len(texts), "hi": len(texts)}
-            tags.append(node)
-            if tag not in VOID_TAGS:
-                open_tags.append(node)
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.handle_endtag(tag)
 
-        def handle_startendtag(self, tag, attrs):
-            self.handle_starttag(tag, attrs)
-            self.handle_endtag(tag)
+    def handle_endtag(self, tag):
+        self.fresh = True
+        if any(node["tag"] == tag for node in self.open_tags):
+            while self.shut()["tag"] != tag:
+                pass
 
-        def handle_endtag(self, tag):
-            self.cut()
-            if any(node["tag"] == tag for node in open_tags):
-                while close(open_tags.pop())["tag"] != tag:
-                    pass
+    def shut(self):
+        node = self.open_tags.pop()
+        node["stop"], node["hi"] = len(self.tags), len(self.texts)
+        return node
 
-        def handle_data(self, data):
-            if self.fresh:
-                texts.append("")
-                silent.append("")
-                self.fresh = False
-            hidden = open_tags and open_tags[-1]["tag"] in SILENT_TAGS
-            (silent if hidden else texts)[-1] += data
+    def handle_data(self, data):
+        if self.fresh:
+            self.texts.append("")
+            self.silent.append("")
+            self.fresh = False
+        hidden = self.open_tags and self.open_tags[-1]["tag"] in SILENT_TAGS
+        (self.silent if hidden else self.texts)[-1] += data
 
-    def close(node):
-        node["stop"], node["hi"] = len(tags), len(texts)
-        return node
 
-    walker = Walker(convert_charrefs=True)
+def outline_one(body: str, walker: _Walker | None = None) -> dict:
+    walker = walker or _Walker(convert_charrefs=True)
+    walker.start()
     walker.feed(body)
     walker.close()
-    while open_tags:
-        close(open_tags.pop())
-    return {"tags": tags, "texts": texts, "silent": silent}
+    while walker.open_tags:
+        walker.shut()
+    return {"tags": walker.tags, "texts": walker.texts, "silent": walker.silent}
+
+
+_NO_BODY = {"tags": None, "texts": None, "silent": None}
 
 
 @F.pandas_udf(OUTLINE_TYPE)
 def _outline(bodies: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    walker = _Walker(convert_charrefs=True)
     for batch in bodies:
-        yield pd.DataFrame([outline_one(b) if b is not None else {"tags": None, "texts": None, "silent": None}
-                            for b in batch], columns=["tags", "texts", "silent"])
+        yield pd.DataFrame([_NO_BODY if b is None else outline_one(b, walker) for b in batch], columns=list(_NO_BODY))
 
 
 def outline(body: Column) -> Column:

@@ -16,11 +16,29 @@ def _quoted(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def _canonical_url_sql() -> str:
+    head = "substring_index(substring_index(url, '#', 1), '?', 1)"
+    rest = f"substring({head}, instr({head}, '://') + 3)"
+    path = f"substring({rest}, length(substring_index({rest}, '/', 1)) + 1)"
+    query = f"substring(substring_index(url, '#', 1), length({head}) + 2)"
+    cut = lambda p: f"CASE WHEN {p} IN ('', '/') THEN '/' ELSE rtrim('/', {p}) END"
+    params = f"regexp_extract({path}, '(?s)^(?:.*/)?[^/;]*(;.*)$', 1)"
+    before = f"substring({path}, 1, length({path}) - length({params}))"
+    decode = lambda x: f"try_url_decode(regexp_replace({x}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
+    encode = lambda x: f"replace(replace(url_encode({decode(x)}), '*', '%2A'), '%7E', '~')"
+    name, value = "substring_index(p, '=', 1)", "substring(p, length(substring_index(p, '=', 1)) + 2)"
+    pairs = (f"transform(filter(split({query}, '&'), p -> p <> '' AND lower({decode(name)}) NOT IN ({_quoted(urls.TRACKING_PARAMS)})), "
+             f"p -> concat('&', {encode(name)}, '=', {encode(value)}))")
+    return rf"""CASE WHEN url RLIKE '{urls._ABSOLUTE}' THEN concat('https://',
+        regexp_replace(lower(substring_index({rest}, '/', 1)), ':(443|80)$', ''),
+        CASE WHEN contains({path}, ';') THEN concat({cut(before)}, CASE WHEN {params} = ';' THEN '' ELSE {params} END) ELSE {cut(path)} END,
+        CASE WHEN {query} = '' THEN '' ELSE regexp_replace(array_join({pairs}, ''), '^&', '?') END) ELSE url END"""
+
+
 def register_functions(spark: SparkSession) -> list[str]:
     markets = " ".join(f"WHEN '{n}' THEN '{s['market']}'" for n, s in ALL_SOURCES.items())
     day, clock = r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[0-9]{2}:[0-9]{2}:[0-9]{2}"
     mail = rf"^[A-Za-z]{{3}},\\s+([0-9]{{1,2}}\\s+[A-Za-z]{{3}}\\s+[0-9]{{4}}\\s+{clock})"
-    parts = urls._PARTS.replace("\\", "\\\\")
     definitions = {
         "pii_hash(author STRING) RETURNS STRING":
             f"substring(sha2(CAST(concat('{pii_salt()}:', author) AS BINARY), 256), 1, {HASH_CHARS})",
@@ -44,8 +62,7 @@ def register_functions(spark: SparkSession) -> list[str]:
                  WHEN t RLIKE '^{day}[T ]{clock}'
                    THEN try_to_timestamp(translate(substring(t, 1, 19), 'T', ' '), 'yyyy-MM-dd HH:mm:ss')
                  WHEN t RLIKE '^{day}' THEN try_to_timestamp(substring(t, 1, 10), 'yyyy-MM-dd') END""",
-        "canonical_host(url STRING) RETURNS STRING":
-            f"regexp_replace(lower(regexp_extract(url, '{parts}', 2)), ':(443|80)$', '')",
+        "canonical_url(url STRING) RETURNS STRING": _canonical_url_sql(),
     }
     for signature, body in definitions.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

@@ -18,7 +18,7 @@ TRACKING_PARAMS = [
 ]
 # -------------------------------------------------------------------------------
 
-_PARTS = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]+)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"
 
 
 def _decode(text: Column) -> Column:
@@ -34,23 +34,30 @@ def _encode(text: Column) -> Column:
 def canonical_url(url: Column) -> Column:
     """One spelling per page: https, lower-case host, no default port, no tracking parameters,
     no trailing slash and no fragment. Anything that is not an absolute address stays unchanged."""
-    part = lambda i: F.regexp_extract(url, _PARTS, i)
-    host = F.regexp_replace(F.lower(part(2)), ":(443|80)$", "")
-
-    raw_path = part(3)
+    address = F.substring_index(url, "#", 1)
+    head = F.substring_index(address, "?", 1)
+    raw_query = F.substring(address, F.length(head) + 2, F.length(address))
+    rest = F.substring(head, F.instr(head, "://") + 3, F.length(head))
+    raw_host = F.substring_index(rest, "/", 1)
+    raw_path = F.substring(rest, F.length(raw_host) + 1, F.length(rest))
+    host = F.regexp_replace(F.lower(raw_host), ":(443|80)$", "")
+
+    def cut(path: Column) -> Column:
+        return F.when(path.isin("", "/"), F.lit("/")).otherwise(F.rtrim(path, F.lit("/")))
+
+    # Parameters of the last path part (";v=1") stay behind the path; a lone ";" names none and disappears.
     params = F.regexp_extract(raw_path, r"(?s)^(?:.*/)?[^/;]*(;.*)$", 1)
-    path = F.substring(raw_path, F.lit(1), F.length(raw_path) - F.length(params))
-    path = F.when(path == "", F.lit("/")).when(F.length(path) > 1, F.regexp_replace(path, "/+$", "")).otherwise(path)
+    before = F.substring(raw_path, F.lit(1), F.length(raw_path) - F.length(params))
+    path = F.when(raw_path.contains(";"), F.concat(cut(before), F.when(params == ";", "").otherwise(params))).otherwise(
+        cut(raw_path))
 
-    pairs = F.filter(F.split(part(4), "&"), lambda p: p != "")
+    pairs = F.filter(F.split(raw_query, "&"), lambda p: p != "")
     split_at = lambda p: F.when(F.instr(p, "=") > 0, F.instr(p, "=")).otherwise(F.length(p) + 1)
     decoded = F.transform(pairs, lambda p: F.struct(
         _decode(F.substring(p, F.lit(1), split_at(p) - 1)).alias("name"),
         _decode(F.substring(p, split_at(p) + 1, F.length(p))).alias("value")))
     kept = F.filter(decoded, lambda q: ~F.lower(q["name"]).isin(TRACKING_PARAMS))
-    query = F.array_join(F.transform(kept, lambda q: F.concat(_encode(q["name"]), F.lit("="), _encode(q["value"]))), "&")
-
-    tail = F.when(F.length(query) > 0, F.concat(F.lit("?"), query)).otherwise(F.lit(""))
-    # A lone ";" names no parameters and disappears.
-    params = F.when(F.length(params) > 1, params).otherwise(F.lit(""))
-    return F.when(url.rlike(_PARTS), F.concat(F.lit("https://"), host, path, params, tail)).otherwise(url)
+    query = F.array_join(F.transform(kept, lambda q: F.concat(F.lit("&"), _encode(q["name"]), F.lit("="), _encode(q["value"]))), "")
+    # The first "&" becomes the "?"; without a kept pair nothing is left.
+    tail = F.when(raw_query == "", F.lit("")).otherwise(F.regexp_replace(query, "^&", "?"))
+    return F.when(url.rlike(_ABSOLUTE), F.concat(F.lit("https://"), host, path, tail)).otherwise(url)

@@ -16,8 +16,6 @@ def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS,
     """Terms with the largest sum of their length-normalised weights.
 
     The vocabulary is the ``max_terms`` most frequent terms (ties by term); idf = ln((1 + n) / (1 + df)) + 1.
-    Term counts are aggregated per document before anything is joined, so a word in every document costs one row per
-    document and task, not one per occurrence.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     pairs = F.when(F.size("w") > 1, F.transform(
@@ -26,13 +24,17 @@ def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS,
         F.array().cast("array<string>"))
     terms = docs.select(F.col(doc_id).alias("doc"), words.alias("w")).select(
         "doc", F.explode(F.concat("w", pairs)).alias("term"))
-    tf = terms.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
-    vocabulary = (tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-                  .orderBy(F.desc("total"), "term").limit(max_terms))
+    # The vocabulary needs totals only, and they add up before the shuffle. Its few terms are then all that is counted
+    # per document: the long tail of rare word pairs never gets there.
+    vocabulary = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"), "term").limit(max_terms)
+    vocabulary = vocabulary.select("term")
+    tf = (terms.join(F.broadcast(vocabulary), "term")  # at most ``max_terms`` rows
+          .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+    found_in = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.log((1 + n) / (1 + F.col("df"))) + 1
-    weighted = (tf.join(F.broadcast(vocabulary), "term")  # at most ``max_terms`` rows
+    weighted = (tf.join(F.broadcast(found_in), "term")  # one row per term of the vocabulary
                 .select("doc", "term", (F.col("tf") * idf).alias("x")))
     norm = weighted.groupBy("doc").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     return (weighted.join(norm, "doc").groupBy("term").agg(F.sum(F.col("x") / F.col("norm")).alias("score"))

@@ -11,9 +11,10 @@ from moodtide.functions import dates, text
 from moodtide.functions.html import html_to_text
 from moodtide.operators import merge, quality
 from moodtide.sources import feeds, parsers
+from moodtide.sources.parsers import BODY_CONTAINERS
 
 FIELDS = ["title", "content", "published_at"]
-NEWS_SITES = ["cnn", "wsj", "marketwatch"]
+NEWS_SITES = list(BODY_CONTAINERS)
 
 
 def _forum_fixes(bad: DataFrame) -> DataFrame:
@@ -46,9 +47,10 @@ def _forum_post_fixes(bad: DataFrame) -> DataFrame:
                         F.nullif(body, F.lit("")).alias("content"), at.cast("timestamp_ntz").alias("published_at"))
 
 
-def _page_fixes(source: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda bad: parsers.news_page(
-        bad.where((F.col("source_name") == source) & F.col("raw_html").isNotNull()), source, keep=("article_id",))
+def _page_fixes(bad: DataFrame) -> DataFrame:
+    """Pages of all news sites in one job, each read with the rules of its own site."""
+    return parsers.news_page(bad.where(F.col("source_name").isin(NEWS_SITES) & F.col("raw_html").isNotNull()),
+                             F.col("source_name"), keep=("article_id",))
 
 
 def fixes(articles: DataFrame, sources: DataFrame, responses: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def fixes(articles: DataFrame, sources: DataFrame, responses: DataFrame) -> Data
     Only bad rows meet the bodies; all of them do, there is no batch limit. ``responses``: url, raw_html, raw_json.
     """
     bad = quality.diagnose(articles, sources).join(responses.select("url", "raw_html", "raw_json"), "url")
-    jobs = [_forum_fixes, _news_item_fixes, _forum_post_fixes, *[_page_fixes(s) for s in NEWS_SITES]]
+    jobs = [_forum_fixes, _news_item_fixes, _forum_post_fixes, _page_fixes]
     found = quality.union_all([job(bad).select("article_id", *FIELDS) for job in jobs])
     # A listing may hold an id twice: the first value of each field counts.
     one = found.groupBy("article_id").agg(*[F.min(f).alias(f) for f in FIELDS])

@@ -36,12 +36,16 @@ def _filled(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def _container(page: Page, source: str) -> Column:
+def _container(page: Page, source: str | Column) -> Column:
+    """First container of the publisher; with a source column each row uses the rules of its own source."""
     def test(tag, attribute, value):
         if attribute == "class":
             return tag_with_class(tag, value)
         return lambda t: (t["tag"] == tag) & (attr(t, attribute) == value)
-    return F.coalesce(*[page.first(test(*rule)) for rule in BODY_CONTAINERS[source]])
+    first = lambda name: F.coalesce(*[page.first(test(*rule)) for rule in BODY_CONTAINERS[name]])
+    if isinstance(source, str):
+        return first(source)
+    return F.coalesce(*[F.when(source == name, first(name)) for name in BODY_CONTAINERS])
 
 
 def _article_paragraphs(page: Page, every_article: bool) -> Column:
@@ -53,7 +57,7 @@ def _article_paragraphs(page: Page, every_article: bool) -> Column:
         articles, lambda a: (t["pos"] > a["pos"]) & (t["pos"] < a["stop"])))
 
 
-def _body_text(page: Page, source: str, every_article: bool, retry_empty: bool) -> Column:
+def _body_text(page: Page, source: str | Column, every_article: bool, retry_empty: bool) -> Column:
     """Paragraphs of the publisher's container, else of the article element."""
     box = _container(page, source)
     own, fallback = page.inside(box, is_tag("p")), _article_paragraphs(page, every_article)
@@ -147,7 +151,7 @@ def forum_post(posts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 # -- news pages ------------------------------------------------------------------------------------
 # Each job first takes the texts it needs out of the outline, one column per text, and reads them afterwards: the
 # expressions that walk the tag list then stand in the plan once.
-def news_page(documents: DataFrame, source: str, body: str = "raw_html", keep: tuple[str, ...] = ()) -> DataFrame:
+def news_page(documents: DataFrame, source: str | Column, body: str = "raw_html", keep: tuple[str, ...] = ()) -> DataFrame:
     """Title, text and time of a stored page, each null when not found."""
     page = Page()
     parse = lambda c: dates.parse_iso(c, date_only=False)

@@ -107,6 +107,8 @@ def test_guarded_casts(spark):
     ("http://x.com:80/", "https://x.com/"), ("http://x.com:8080/a//", "https://x.com:8080/a"),
     ("https://x.com/a?UTM_ID=1&Ref=2", "https://x.com/a"), ("https://x.com/a?q=a+b&r=%C3%A9&s", "https://x.com/a?q=a+b&r=%C3%A9&s="),
     ("https://x.com/a?p=50%&t=~*", "https://x.com/a?p=50%25&t=~%2A"), ("https://x.com/a;v=1?b=2", "https://x.com/a;v=1?b=2"),
+    ("https://x.com/a/;v=1", "https://x.com/a;v=1"), ("https://x.com/a;", "https://x.com/a"), ("https://x.com?a=http://y/", "https://x.com/?a=http%3A%2F%2Fy%2F"),
+    ("https://x.com//", "https://x.com"), ("https://x.com/a?&&", "https://x.com/a"),
     ("https://X.com/Ab?b=2&a=1", "https://x.com/Ab?b=2&a=1"), (None, None), ("", ""),
 ])
 def test_canonical_url(spark, given, expected):
@@ -124,6 +126,9 @@ def test_lines_and_titles(spark):
 
 def test_sql_functions_agree_with_columns(spark):
     register_functions(spark)
+    given = ["HTTP://WWW.X.com:443/a/?utm_source=f&b=1&c=#t", "not a url", "http://x.com", "http://x.com:8080/a//", "https://x.com/a?q=a+b&r=%C3%A9&s",
+             "https://x.com/a/;v=1?b=50%&t=~*", "https://x.com/a;", None]
+    assert apply(spark, given, lambda c: F.call_function("canonical_url", c)) == apply(spark, given, urls.canonical_url)
     df = spark.createDataFrame([("爆", "2024-02-05 08:00:00", "ptt"), ("X 3", "1700000000.5", "reddit"), ("x", "2024-02-05", "cnn")],
                                "badge string, t string, source string")
     both = df.select(
