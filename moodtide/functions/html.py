@@ -13,11 +13,11 @@ import sys
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from moodtide.functions.text import strip
 
@@ -28,11 +28,11 @@ VOID_TAGS = frozenset(  # fixed values: tags that never have content
     "area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset(["script", "style", "template"])  # fixed values: text that is never shown
 
-_TAG = T.StructType([
-    T.StructField("tag", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    *[T.StructField(n, T.IntegerType()) for n in ("pos", "stop", "lo", "hi")]])
-OUTLINE_TYPE = T.StructType([T.StructField("tags", T.ArrayType(_TAG)),
-                             *[T.StructField(n, T.ArrayType(T.StringType())) for n in ("texts", "silent")]])
+OUTLINE_TYPE = pa.struct([
+    ("tags", pa.list_(pa.struct([
+        ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
+        ("pos", pa.int32()), ("stop", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())]))),
+    ("texts", pa.list_(pa.string())), ("silent", pa.list_(pa.string()))])
 
 
 class _Walker(HTMLParser):
@@ -51,7 +51,7 @@ class _Walker(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self.fresh = True
         at, text = len(self.tags), len(self.texts)
-        node = {"tag": tag, "attrs": {k: v or "" for k, v in attrs}, "pos": at, "stop": at + 1, "lo": text, "hi": text}
+        node = {"tag": tag, "attrs": list({k: v or "" for k, v in attrs}.items()), "pos": at, "stop": at + 1, "lo": text, "hi": text}
         self.tags.append(node)
         if tag not in VOID_TAGS:
             self.open_tags.append(node)
@@ -90,14 +90,11 @@ def outline_one(body: str, walker: _Walker | None = None) -> dict:
     return {"tags": walker.tags, "texts": walker.texts, "silent": walker.silent}
 
 
-_NO_BODY = {"tags": None, "texts": None, "silent": None}
-
-
-@F.pandas_udf(OUTLINE_TYPE)
-def _outline(bodies: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+@F.arrow_udf(from_arrow_type(OUTLINE_TYPE))
+def _outline(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
     walker = _Walker(convert_charrefs=True)
     for batch in bodies:
-        yield pd.DataFrame([_NO_BODY if b is None else outline_one(b, walker) for b in batch], columns=list(_NO_BODY))
+        yield pa.array([None if b is None else outline_one(b, walker) for b in batch.to_pylist()], type=OUTLINE_TYPE)
 
 
 def outline(body: Column) -> Column:

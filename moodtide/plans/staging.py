@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from moodtide import config
 from moodtide.functions import dates, pii, text
+from moodtide.functions.once import computed_once
 from moodtide.operators.dedup import latest
 
 _ARTICLE_FIELDS = ["url", "title", "author", "content", "push_count", "published_at", "scraped_at"]
@@ -25,8 +26,8 @@ def _ntz(c: Column) -> Column:
 
 def extract_articles(raw: DataFrame) -> DataFrame:
     """Typed fields of each raw delivery; the payload is parsed once."""
-    p = raw.select("raw_id", "source_name", "ingested_at",
-                   F.from_json("raw_payload", _fields(_ARTICLE_FIELDS)).alias("p"))
+    p = computed_once(raw, "raw_id", "source_name", "ingested_at",
+                      F.from_json("raw_payload", _fields(_ARTICLE_FIELDS)).alias("p"))
     source = F.col("source_name")
     return p.select(
         text.blank_to_null(F.col("p.url")).alias("url"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodtide.functions import dates, text, urls
+from moodtide.functions.once import computed_once
 
 _ENTRY = "struct<loc:string,`news:news`:struct<`news:title`:string,`news:publication_date`:string>>"
 _URLSET = f"struct<url:array<{_ENTRY}>>"
@@ -101,7 +102,7 @@ def forum_posts(documents: DataFrame, body: str = "body", keep: tuple[str, ...]
 
 def bulk_posts(documents: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Posts of the bulk API; an answer that carries an error has none."""
-    parsed = documents.select(*keep, F.from_json(body, _BULK).alias("p")).where(
+    parsed = computed_once(documents, *keep, F.from_json(body, _BULK).alias("p")).where(
         F.coalesce("p.error", F.lit("")) == "")
     return parsed.select(*keep, F.explode("p.data").alias("d")).select(*keep, "d.*")
 
@@ -111,7 +112,7 @@ def archive_index_rows(documents: DataFrame, pattern: Column, body: str = "body"
                        keep: tuple[str, ...] = ()) -> DataFrame:
     """Snapshots of an index answer: the first row names the columns; short rows and foreign addresses drop out."""
     table = F.from_json(F.trim(body), "array<array<string>>")
-    parsed = documents.select(*keep, pattern.alias("pattern"), table.alias("t")).where("size(t) > 1").select(
+    parsed = computed_once(documents, *keep, pattern.alias("pattern"), table.alias("t")).where("size(t) > 1").select(
         *keep, "pattern", F.get("t", F.lit(0)).alias("header"),
         F.posexplode(F.slice("t", F.lit(2), F.size("t"))).alias("position", "row"))
     cell = lambda name: F.get("row", F.array_position("header", name).cast("int") - 1).alias(name)

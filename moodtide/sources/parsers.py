@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from moodtide.functions import dates, text, urls
 from moodtide.functions.html import Page, attr, html_to_text, is_tag, outline, tag_with_class
+from moodtide.functions.once import computed_once
 from moodtide.sources import feeds
 
 # --- fixed values: where each publisher keeps its text and dates ---------------------
@@ -89,8 +90,8 @@ def forum_list(documents: DataFrame, body: str = "body", keep: tuple[str, ...] =
     box = lambda name: page.first_inside(entry, tag_with_class("div", name))
     rows = documents.withColumn("doc", outline(F.col(body))).select(
         *keep, "doc", F.explode(page.all(tag_with_class("div", "r-ent"))).alias("entry"))
-    rows = rows.select(
-        *keep, text.strip(page.raw_text(link_box)).alias("title"),
+    rows = computed_once(
+        rows, *keep, text.strip(page.raw_text(link_box)).alias("title"),
         page.first_inside(link_box, is_tag("a")).alias("link"),
         text.strip(page.raw_text(box("author"))).alias("author"),
         F.coalesce(_filled(text.strip(page.raw_text(box("nrec")))), F.lit("0")).alias("push_text"))
@@ -121,8 +122,9 @@ def forum_article(documents: DataFrame, body: str = "body", keep: tuple[str, ...
 
     comments = F.filter(F.transform(page.inside(main, push), comment), lambda c: (
         c["author"].isNotNull() & c["push_tag"].isNotNull() & c["message"].isNotNull()))
-    rows = documents.withColumn("doc", outline(F.col(body))).withColumn(
-        "main", page.first(lambda t: (t["tag"] == "div") & (attr(t, "id") == "main-content")))
+    rows = computed_once(
+        documents.withColumn("doc", outline(F.col(body))), *keep, "doc",
+        page.first(lambda t: (t["tag"] == "div") & (attr(t, "id") == "main-content")).alias("main"))
     return rows.where("main IS NOT NULL").select(
         *keep, text.clean_body_lines(words).alias("content"), comments.alias("comments"))
 
@@ -156,8 +158,8 @@ def news_page(documents: DataFrame, source: str | Column, body: str = "raw_html"
     page = Page()
     parse = lambda c: dates.parse_iso(c, date_only=False)
     metas = [page.meta(attribute, name) for attribute in ("property", "name") for name in REPAIR_DATE_METAS]
-    found = documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, text.strip(page.meta("property", "og:title")).alias("_og"), page.text(page.first(is_tag("h1"))).alias("_h1"),
+    found = computed_once(
+        documents.withColumn("doc", outline(F.col(body))), *keep, text.strip(page.meta("property", "og:title")).alias("_og"), page.text(page.first(is_tag("h1"))).alias("_h1"),
         _body_text(page, source, every_article=False, retry_empty=True).alias("_body"),
         F.array_compact(F.array(*metas)).alias("_metas"),
         _ld_json_dates(page, parse, ["datePublished", "dateCreated"], lists=False).alias("_ld"))
@@ -170,8 +172,8 @@ def full_page(documents: DataFrame, source: str = "cnn", body: str = "raw_html",
               keep: tuple[str, ...] = ()) -> DataFrame:
     """Page fetched for a bare sitemap address; short texts drop out, a missing title is taken from the address."""
     page = Page()
-    found = documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, F.col(url).alias("_url"), _filled(page.meta("property", "og:title")).alias("_og"),
+    found = computed_once(
+        documents.withColumn("doc", outline(F.col(body))), *keep, F.col(url).alias("_url"), _filled(page.meta("property", "og:title")).alias("_og"),
         page.text(page.first(is_tag("title"))).alias("_title"),
         _body_text(page, source, every_article=True, retry_empty=False).alias("content"),
         page.meta("property", "article:published_time").alias("_at"))
@@ -193,8 +195,8 @@ def archive_page(documents: DataFrame, body: str = "raw_html", stamp: str = "tim
     clock = page.first(is_tag("time"))
     # For one name the property form wins over the name form, even when its date cannot be read.
     metas = [F.coalesce(_first_meta(page, "property", n), _first_meta(page, "name", n)) for n in ARCHIVE_DATE_METAS]
-    found = documents.withColumn("doc", outline(F.col(body))).select(
-        *keep, F.col(url).alias("_url"), F.col(stamp).alias("_stamp"),
+    found = computed_once(
+        documents.withColumn("doc", outline(F.col(body))), *keep, F.col(url).alias("_url"), F.col(stamp).alias("_stamp"),
         text.strip(page.meta("property", "og:title")).alias("_og"), text.strip(page.meta("name", "title")).alias("_meta"),
         page.text(page.first(is_tag("h1"))).alias("_h1"), page.text(page.first(is_tag("title"))).alias("_title"),
         page.paragraphs(paragraphs).alias("content"),
