@@ -83,8 +83,9 @@ def landed_pages(desk: Desk):
 
 
 def _clean(x: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+    """Character references; the semicolon may be missing where a text was cut."""
+    for entity, char in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#x27", "''"), ("&#39", "''"), ("&amp", "&")):
+        x = f"regexp_replace({x}, '{entity};?', '{char}', 'g')"
     return x
 
 

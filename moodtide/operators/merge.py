@@ -60,10 +60,11 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_
     """Overwrite only the partitions present in ``df``, which may itself read from ``path``.
 
     The rows are first written to the shared folder: an executor lost half way then never leaves the target with
-    partitions that are gone but not yet rewritten from themselves.
+    partitions that are gone but not yet rewritten from themselves. The final write gathers small partitions into few
+    files and splits a partition that holds far more rows than others over several tasks.
     """
     staging = shared_dir(spark, "staging")
     df.write.mode("overwrite").parquet(staging)
     (spark.read.schema(df.schema).parquet(staging)
-     .repartition(*partition_by).sortWithinPartitions(*partition_by)
+     .hint("rebalance", *partition_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
