@@ -224,3 +224,17 @@ def schema_tests(desk: Desk):
     ])
 
 
+
+
+@query("mart_checks", f"""{_PASSED} ({" UNION ALL ".join([
+    _row(1, "groups_missing", "mart_daily_summary", "count(*)", "count(*)",
+         "(SELECT fact_date, source_name FROM v_fact EXCEPT SELECT summary_date, source_name FROM v_mart_daily)"),
+    _row(2, "groups_repeated", "mart_daily_summary", "count(*)", "count(*)",
+         "(SELECT summary_date, source_name FROM v_mart_daily GROUP BY ALL HAVING count(*) > 1)"),
+    _row(3, "accepted_values", "mart_market_summary.market_code", "count(*) FILTER (WHERE market_code NOT IN ('TW', 'US'))", "count(*)",
+         "(SELECT DISTINCT fact_date, market_code FROM v_fact f JOIN v_sources s ON s.source_id = f.source_id)"),
+    _row(4, "columns", "mart_daily_summary", "0", "6", "(SELECT 1)"), _row(5, "columns", "mart_market_summary", "0", "6", "(SELECT 1)")])})""")
+def mart_checks(desk: Desk):
+    from catalog.tables import fact, market_mart
+    rows = fact(desk)
+    return quality.mart_checks(rows, warehouse.mart_daily_summary(rows), market_mart(desk))

@@ -180,3 +180,28 @@ def diagnose(articles: DataFrame, sources: DataFrame) -> DataFrame:
     return (articles.where(" OR ".join(f"{f} IS NULL" for f in fields))
             .join(sources.select("source_id", "source_name"), "source_id")
             .select("article_id", "url", "source_name", bad.alias("bad_fields")))
+
+
+# -- marts ------------------------------------------------------------------------------------
+# --- fixed values: columns a mart has to offer ------------------------------------------------
+MART_COLUMNS = {
+    "mart_daily_summary": ["summary_date", "source_name", "total_articles", "scored_articles", "avg_sentiment", "avg_push_count"],
+    "mart_market_summary": ["fact_date", "market_code", "source_count", "total_articles", "avg_sentiment", "avg_push_count"],
+}
+# ----------------------------------------------------------------------------------------------
+
+
+def mart_checks(fact: DataFrame, daily: DataFrame, market: DataFrame) -> DataFrame:
+    """What has to hold after a refresh: every fact group is in the mart once, known markets only, columns complete."""
+    groups = fact.groupBy("fact_date", "source_name").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("fact_date").alias("summary_date"), "source_name")
+    missing = {name: [c for c in MART_COLUMNS[name] if c not in df.columns]
+               for name, df in (("mart_daily_summary", daily), ("mart_market_summary", market))}
+    columns = [Rule(4 + i, "columns", name, F.lit(len(gone)), F.lit(len(MART_COLUMNS[name])))
+               for i, (name, gone) in enumerate(missing.items())]
+    return union_all([
+        counted(1, "groups_missing", "mart_daily_summary", groups.join(daily, ["summary_date", "source_name"], "left_anti")),
+        counted(2, "groups_repeated", "mart_daily_summary",
+                daily.groupBy("summary_date", "source_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")),
+        run_rules(market, [satisfies(3, "accepted_values", "mart_market_summary.market_code",
+                                     F.col("market_code").isin([code for _, code, *_ in config.MARKETS])), *columns])])

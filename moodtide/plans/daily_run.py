@@ -6,8 +6,18 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from moodtide import config
+from moodtide.functions import pii
+from moodtide.operators import prices, quality
+from moodtide.plans import backtest, ingest, learning, repair, warehouse
+from moodtide.sources import landing
+from moodtide.sources.lake import Lake
+from moodtide.sources.tables import snapshot_tables
 
 log = logging.getLogger(__name__)
 
@@ -53,3 +63,102 @@ def run_log(spark: SparkSession, results: Sequence[StepResult]) -> DataFrame:
     """Step results as rows of the run log that monitoring reads."""
     return spark.createDataFrame([(r.step, r.status, r.seconds, r.error) for r in results],
                                  "step string, status string, seconds double, error string")
+
+
+# -- the steps over a lake ------------------------------------------------------------------------
+_EMPTY = {
+    "articles": "article_id long, source_id int, title string, push_count long, author string, url string, content string, "
+                "published_at timestamp_ntz, scraped_at timestamp_ntz",
+    "comments": "article_id long, place int, author string, push_tag string, message string",
+    "sentiment_scores": "article_id long, score double, calculated_at timestamp_ntz",
+    "prices": "symbol string, trade_date date, close decimal(10,2), change decimal(10,2)",
+}
+# Warehouse tables that a snapshot holds besides the stored ones.
+_MARTS = ["fact_sentiment", "mart_daily_summary", "mart_market_summary"]
+
+
+def lake_steps(lake: Lake, landed: DataFrame, now: datetime, scorer: learning.Scorer | None = None) -> dict[str, Callable[[], object]]:
+    """The steps of a run over the landed bodies (source, kind, url, fetched_at, http_status, content_type, body).
+
+    Prices are read from the lake's ``prices`` table, where a price load merges them.
+    """
+    spark, stamp = lake.spark, F.lit(now)
+
+    def schema() -> None:
+        if not lake.exists("sources"):
+            rows = [(i, name, s["url"], s.get("has_push_count", False)) for i, (name, s) in enumerate(config.ALL_SOURCES.items(), 1)]
+            lake.replace("sources", config.constant_frame(
+                spark, rows, "source_id int, source_name string, url string, has_push_count boolean"))
+        for name, columns in _EMPTY.items():
+            if not lake.exists(name):
+                lake.replace(name, spark.createDataFrame([], columns))
+
+    def extract() -> None:
+        documents = landing.response_document(landed)
+        if lake.exists("raw_responses"):
+            documents = documents.unionByName(lake.read("raw_responses"))
+        lake.replace("raw_responses", landing.latest_responses(documents))
+        # What was parsed is written once; the raw layer and the tables are filled from there.
+        lake.replace("scraped", ingest.scraped(landed, stamp))
+        found = lake.read("scraped")
+        landing.append(landing.raw_articles(found, F.col("source_name"), stamp), lake.path("raw_articles"))
+        stored = lake.read("articles")
+        first = (stored.agg(F.max("article_id")).head()[0] or 0) + 1
+        lake.replace("new_articles", ingest.new_articles(found, stored, lake.read("sources"), first, stamp))
+        fresh = lake.read("new_articles")
+        lake.replace("articles", stored.unionByName(fresh.drop("comments")))
+        lake.replace("comments", lake.read("comments").unionByName(ingest.new_comments(fresh)))
+
+    def checks(articles: DataFrame) -> DataFrame:
+        price = lake.read("prices")
+        one = lambda market: price.where(F.col("symbol") == config.MARKET_INSTRUMENT[market])
+        return quality.table_checks(articles, lake.read("comments"), lake.read("sentiment_scores"), lake.read("sources"),
+                                    one("TW"), one("US"))
+
+    def transform() -> None:
+        articles = lake.read("articles")
+        mended = repair.check_and_repair(articles, lake.read("sources"), lake.read("raw_responses"), checks)
+        if mended is not articles:
+            lake.replace("articles", mended)
+        report = quality.expectations(lake.read("articles"), lake.read("sources"),
+                                      lake.read("prices").where(F.col("symbol") == config.MARKET_INSTRUMENT["US"]))
+        lake.replace("expectations", report)
+
+    def mask() -> None:
+        for name in ("articles", "comments"):
+            lake.replace(name, lake.read(name).withColumn("author", pii.mask_author(F.col("author"))))
+
+    def score() -> None:
+        if scorer is None:
+            raise RuntimeError("no scorer given")
+        stored = lake.read("sentiment_scores")
+        new = learning.score_articles(lake.read("articles"), stored, scorer, stamp)
+        lake.replace("sentiment_scores", learning.store_scores(stored, new))
+
+    def dw_etl() -> None:
+        sources = lake.read("sources")
+        dims = warehouse.dim_source(sources)
+        for name, df in (("dim_market", warehouse.dim_market(spark)), ("dim_stock", warehouse.dim_stock(spark)), ("dim_source", dims)):
+            lake.replace(name, df)
+        lake.replace("fact_sentiment", warehouse.fact_sentiment(lake.read("articles"), lake.read("sentiment_scores"), sources, dims))
+        fact = lake.read("fact_sentiment")
+        lake.replace("mart_daily_summary", warehouse.mart_daily_summary(fact))
+        lake.replace("mart_market_summary", warehouse.mart_market_summary(fact, dims, warehouse.dim_market(spark)))
+
+    def backup() -> str:
+        names = ["sources", *_EMPTY, *_MARTS]
+        return snapshot_tables({n: lake.read(n) for n in names}, lake.path("backup"), now.strftime("%Y%m%d%H%M%S"))
+
+    def predict() -> None:
+        posts = (lake.read("articles").join(lake.read("sources").select("source_id", "source_name"), "source_id")
+                 .join(lake.read("sentiment_scores").select("article_id", "score"), "article_id", "left")
+                 .select(F.to_date("published_at").alias("date"), "source_name", "score", "push_count"))
+        base, returns = backtest.daily_base(posts), prices.next_day_returns(lake.read("prices"))
+        feats = backtest.features(base, returns)
+        ready = backtest.prediction_gate(base, returns, feats).where("state = 'ready'").select("market")
+        predictions = learning.walk_forward_predict(feats.join(ready, "market", "left_semi"))
+        lake.replace("predictions", predictions)
+        lake.append("prediction_runs", learning.prediction_run(learning.prediction_summary(lake.read("predictions")), stamp))
+
+    return {"schema": schema, "extract": extract, "transform": transform, "pii": mask, "score": score, "dw_etl": dw_etl,
+            "backup": backup, "predict": predict}

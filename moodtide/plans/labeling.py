@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodtide import config
 from moodtide.functions.text import full_text
 from moodtide.operators.dedup import absent_from
+from moodtide.operators.numbering import ranked
 
 SEED = 42  # fixed value
 
@@ -47,20 +48,8 @@ def labeled_texts(labels: DataFrame, articles: DataFrame) -> DataFrame:
 
 
 def label_split(labels: DataFrame, seed: int = SEED) -> DataFrame:
-    """Stratified split: a tenth of every label for test, a tenth for validation, the rest for training.
-
-    The exact rank of a row inside its label is found without one task holding a whole label: rows are ranked inside
-    4096 slices of the random key, and the slice sizes (a small table) are added up in order.
-    """
-    rows = labels.withColumn("key", draw(F.col("article_id"), seed)).withColumn("slice", F.substring("key", 1, 3))
-    sizes = rows.groupBy("label", "slice").agg(F.count(F.lit(1)).alias("n"))
-    by_label = Window.partitionBy("label")
-    offsets = sizes.select(
-        "label", "slice", F.sum("n").over(by_label).alias("total"),
-        (F.sum("n").over(by_label.orderBy("slice")) - F.col("n")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("label", "slice").orderBy("key", "article_id"))
-    ranked = rows.withColumn("place", inside).join(offsets, ["label", "slice"])
-    tenth = F.ceil(F.col("total") / 10)
-    rank = F.col("before") + F.col("place")
-    part = F.when(rank <= tenth, "test").when(rank <= 2 * tenth, "val").otherwise("train")
-    return ranked.select(*labels.columns, part.alias("part"))
+    """Stratified split: a tenth of every label for test, a tenth for validation, the rest for training."""
+    places = ranked(labels, ["label"], draw(F.col("article_id"), seed), "_rank", "_of")
+    tenth = F.ceil(F.col("_of") / 10)
+    part = F.when(F.col("_rank") <= tenth, "test").when(F.col("_rank") <= 2 * tenth, "val").otherwise("train")
+    return places.select(*labels.columns, part.alias("part"))
