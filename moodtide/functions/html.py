@@ -117,13 +117,13 @@ class Page:
 
     def inside(self, node: Column, test: Callable[[Column], Column]) -> Column:
         """Matching tags below a node; the tag list is in document order, so they are one slice of it."""
-        return F.filter(F.slice(self.tags, node["pos"] + 2, node["stop"] - node["pos"] - 1), test)
+        return F.filter(_bound(node, lambda n: F.slice(self.tags, n["pos"] + 2, n["stop"] - n["pos"] - 1)), test)
 
     def first_inside(self, node: Column, test: Callable[[Column], Column]) -> Column:
         return F.get(self.inside(node, test), F.lit(0))
 
     def pieces(self, node: Column) -> Column:
-        return F.slice(self.texts, node["lo"] + 1, node["hi"] - node["lo"])
+        return _bound(node, lambda n: F.slice(self.texts, n["lo"] + 1, n["hi"] - n["lo"]))
 
     def raw_text(self, node: Column) -> Column:
         return F.array_join(self.pieces(node), "")
@@ -137,20 +137,26 @@ class Page:
         return F.array_join(F.filter(F.transform(nodes, lambda t: self.text(t)), lambda x: x != ""), "\n")
 
     def script_text(self, node: Column) -> Column:
-        return F.array_join(F.slice(self.silent, node["lo"] + 1, node["hi"] - node["lo"]), "")
+        return F.array_join(_bound(node, lambda n: F.slice(self.silent, n["lo"] + 1, n["hi"] - n["lo"])), "")
 
     def meta(self, attribute: str, value: str) -> Column:
         """Content of the first ``<meta attribute=value>``."""
         return self.first(lambda t: (t["tag"] == "meta") & (attr(t, attribute) == value))["attrs"]["content"]
 
 
+def _bound(node: Column, rule: Callable[[Column], Column]) -> Column:
+    """``rule`` of a node that is looked up once, although the rule mentions it several times."""
+    return F.get(F.transform(F.array(node), lambda n: rule(n)), F.lit(0))
+
+
 def attr(tag: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(tag["attrs"], F.lit(name)), F.lit(""))
 
 
 def has_class(tag: Column, name: str) -> Column:
     """One of the blank-separated class names is exactly ``name``."""
-    return F.array_contains(F.split(attr(tag, "class"), r"\s+"), name)
+    names = F.concat(F.lit(" "), F.translate(attr(tag, "class"), "\t\n\r\f", "    "), F.lit(" "))
+    return names.contains(f" {name} ")
 
 
 def is_tag(name: str) -> Callable[[Column], Column]:

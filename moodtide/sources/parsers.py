@@ -84,17 +84,16 @@ def _ld_json_dates(page: Page, parse, keys: list[str], lists: bool) -> Column:
 # -- forum pages ------------------------------------------------------------------------------
 def forum_list(documents: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Posts of a list page; entries without a link (deleted posts) and announcements drop out."""
-    page = Page()
-    entry = F.col("entry")
-    link_box = page.first_inside(entry, tag_with_class("div", "title"))
+    page, entry = Page(), F.col("entry")
     box = lambda name: page.first_inside(entry, tag_with_class("div", name))
     rows = documents.withColumn("doc", outline(F.col(body))).select(
         *keep, "doc", F.explode(page.all(tag_with_class("div", "r-ent"))).alias("entry"))
+    rows = computed_once(rows, *keep, "doc", box("title").alias("_title"), box("author").alias("_author"), box("nrec").alias("_nrec"))
     rows = computed_once(
-        rows, *keep, text.strip(page.raw_text(link_box)).alias("title"),
-        page.first_inside(link_box, is_tag("a")).alias("link"),
-        text.strip(page.raw_text(box("author"))).alias("author"),
-        F.coalesce(_filled(text.strip(page.raw_text(box("nrec")))), F.lit("0")).alias("push_text"))
+        rows, *keep, text.strip(page.raw_text(F.col("_title"))).alias("title"),
+        page.first_inside(F.col("_title"), is_tag("a")).alias("link"),
+        text.strip(page.raw_text(F.col("_author"))).alias("author"),
+        F.coalesce(_filled(text.strip(page.raw_text(F.col("_nrec")))), F.lit("0")).alias("push_text"))
     url = F.concat(F.lit(FORUM_BASE), attr(F.col("link"), "href"))
     return rows.where(F.col("link").isNotNull() & ~text.has_skip_keyword(F.col("title"))).select(
         *keep, "title", url.alias("url"), "author", text.push_decode(F.col("push_text")).alias("push_count"),
