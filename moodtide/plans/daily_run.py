@@ -82,7 +82,7 @@ def lake_steps(lake: Lake, landed: DataFrame, now: datetime, scorer: learning.Sc
 
     Prices are read from the lake's ``prices`` table, where a price load merges them.
     """
-    spark, stamp = lake.spark, F.lit(now)
+    spark, stamp = lake.spark, F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
     def schema() -> None:
         if not lake.exists("sources"):

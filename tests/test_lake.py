@@ -84,6 +84,28 @@ def test_run_twice(spark, landed, tmp_path):
     assert spark.read.parquet(lake.path("raw_articles")).count() == 16  # append-only: every delivery, the post of both APIs twice
 
 
+def test_prediction_step(spark, landed, tmp_path):
+    """Half a year of posts and prices: one fold per market, one history row each; without prices nothing is predicted."""
+    lake = Lake(spark, str(tmp_path))
+    steps = daily_run.lake_steps(lake, landed, NOW)
+    steps["schema"]()
+    days = spark.range(180).select("id", F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    posts = days.select(F.explode(F.array(F.struct(F.col("id").alias("article_id"), F.lit(1).alias("source_id"), "day"),
+                                          F.struct((F.col("id") + 1000).alias("article_id"), F.lit(4).alias("source_id"), "day"))).alias("x"))
+    lake.replace("articles", posts.select("x.article_id", "x.source_id", F.lit("t").alias("title"), F.lit(1).cast("long").alias("push_count"),
+                                          F.col("x.day").cast("timestamp_ntz").alias("published_at")))
+    lake.replace("sentiment_scores", lake.read("articles").select("article_id", F.sin(F.col("article_id").cast("double")).alias("score")))
+    steps["predict"]()
+    assert lake.read("prediction_runs").count() == 0
+    price = days.select(F.explode(F.array(F.lit("0050"), F.lit("VOO"))).alias("symbol"), F.col("day").alias("trade_date"),
+                        (F.sin(F.col("id") / 3.0) + 10).cast("decimal(10,2)").alias("close"))
+    lake.replace("prices", price)
+    steps["predict"]()
+    runs = {r["market"]: r for r in lake.read("prediction_runs").collect()}
+    assert set(runs) == {"TW", "US"} and all(80 <= r["sample_days"] <= 92 and 0 <= r["accuracy"] <= 1 for r in runs.values())
+    assert runs["TW"]["run_at"] == NOW
+
+
 def test_missing_bodies_abort_the_run(spark, landed, tmp_path):
     lake = Lake(spark, str(tmp_path))
     steps = daily_run.lake_steps(lake, landed, NOW)
