@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, token_files
+from moodtide.llm import best_fit, simhash, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,29 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 1024 ids."""
     placed = best_fit.pack(table(spark, sf_dir, "documents"), shared_dir(spark, "pieces"), BYTE_VOCABULARY, end=2, capacity=1024)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op3_top_k", """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for every vector whose id is divisible by 50."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+@query("op4_simhash")
+def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint over 3-word shingles and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
