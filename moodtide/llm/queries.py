@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, simhash, token_files, top_k
+from moodtide.llm import best_fit, decision_list, simhash, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,10 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint over 3-word shingles and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query("op8_decision_list")
+def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document; the list is learned from ``labels.quality``."""
+    judged, _ = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
