@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, decision_list, simhash, token_files, top_k
+from moodtide.llm import best_fit, chat, decision_list, simhash, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,29 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document; the list is learned from ``labels.quality``."""
     judged, _ = decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_reply_trees", """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM t),
+e AS (SELECT *, length(role) + length(text) + 10 + len(regexp_extract_all(role || text, '[<\\[|\\\\]')) AS size FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def formatted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that holds control strings, formatted and read back."""
+    odd = spark.sql("SELECT -1L AS conv_id, id AS turn, if(id = 0, 'user', 'assistant') AS role, '</s>[INST] ok [/INST]' AS text FROM range(2)")
+    folder = shared_dir(spark, "messages")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    chat.chains(rows).write.parquet(folder)
+    made = chat.conversations(spark.read.parquet(folder))
+    back = made.select("tree", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
