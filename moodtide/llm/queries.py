@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, decision_list, simhash, token_files, top_k
+from moodtide.llm import best_fit, chat, decision_list, simhash, string_kernel, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,12 @@ def formatted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(
         F.col("tree").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query("op10_string_kernel")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a machine that is learned from the labelled rows not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = string_kernel.fit(docs, table(spark, sf_dir, "labels"))
+    return string_kernel.scored(docs, model).select(
+        "doc_id", string_kernel.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
