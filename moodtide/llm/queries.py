@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, decision_list, simhash, string_kernel, token_files, top_k
+from moodtide.llm import best_fit, chat, decision_list, mixing, simhash, string_kernel, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,60 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = string_kernel.fit(docs, table(spark, sf_dir, "labels"))
     return string_kernel.scored(docs, model).select(
         "doc_id", string_kernel.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: Tree and weights of the mix; sources weigh alike.
+MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "es": 2, "fr": 1}}
+MIX_EPOCHS = 3
+MIX_SEED = "mix"
+
+
+def mix_levels() -> dict:
+    return {"domain": mixing.domain_of(), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _mix_level(level: str, above: str, weight: str) -> str:
+    """CTEs that share the budgets of the level ``above`` among the nodes of ``level``; see :func:`moodtide.llm.mixing.share`."""
+    keys = {"domain": "domain", "lang": "domain, lang", "source": "domain, lang, source"}
+    parent = f"PARTITION BY {keys[above]}" if above else ""
+    join = f"JOIN b_{above} USING ({keys[above]})" if above else "CROSS JOIN (SELECT sum(tokens) AS budget FROM leaf)"
+    return f"""
+n_{level} AS (SELECT {keys[level]}, most, CAST(budget AS HUGEINT) AS budget, CAST({weight} AS HUGEINT) AS w
+  FROM (SELECT {keys[level]}, CAST(sum(tokens) * {MIX_EPOCHS} AS HUGEINT) AS most FROM leaf GROUP BY {keys[level]}) {join}),
+o_{level} AS (SELECT *, sum(w) OVER s AS w_all, coalesce(sum(w) OVER e, 0) AS w_before, coalesce(sum(most) OVER e, 0) AS most_before,
+    row_number() OVER (s ORDER BY CAST(most AS DOUBLE) / CAST(w AS DOUBLE), {level}) AS place FROM n_{level}
+  WINDOW s AS ({parent}), e AS ({parent} ORDER BY CAST(most AS DOUBLE) / CAST(w AS DOUBLE), {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f_{level} AS (SELECT *, min(CASE WHEN most * (w_all - w_before) <= w * (budget - most_before) THEN 1 ELSE 0 END) OVER ({parent} ORDER BY place) = 1 AS full_
+  FROM o_{level}),
+b_{level} AS (SELECT {keys[level]}, CASE WHEN full_ THEN most ELSE
+    (budget - sum(CASE WHEN full_ THEN most ELSE 0 END) OVER ({parent})) * w // sum(CASE WHEN full_ THEN 0 ELSE w END) OVER ({parent}) END AS budget
+  FROM f_{level})"""
+
+
+def _weights_sql(level: str) -> str:
+    return f"CASE {level} " + " ".join(f"WHEN '{k}' THEN {w}" for k, w in MIX_WEIGHTS[level].items()) + " ELSE 1 END"
+
+
+MIX_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce('d' || CAST(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) % 4 AS VARCHAR), '') AS domain, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+{_mix_level("domain", "", _weights_sql("domain"))},
+{_mix_level("lang", "domain", _weights_sql("lang"))},
+{_mix_level("source", "lang", "1")},
+g AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole, CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS rest
+  FROM leaf JOIN b_source USING (domain, lang, source)),
+r AS (SELECT doc_id, d.domain, d.lang, d.source, n_tokens, whole, rest, sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source
+    ORDER BY md5('{MIX_SEED}:' || CAST(whole AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)), doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM d JOIN g USING (domain, lang, source)),
+c AS (SELECT *, whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS copies FROM r)
+SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(copies AS BIGINT) AS copies FROM c WHERE copies > 0
+"""
+
+
+@query("op9_hierarchical_mix", MIX_SQL)
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document; documents it does not take are left out."""
+    levels = mix_levels()
+    rows, leaves = mixing.plan(table(spark, sf_dir, "documents"), levels, MIX_WEIGHTS, MIX_EPOCHS, seed=MIX_SEED)
+    return mixing.copies(rows, leaves, list(levels), MIX_SEED).select("doc_id", *levels, "n_tokens", "copies")
