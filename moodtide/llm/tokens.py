@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,9 @@ import pyarrow as pa
 from moodtide.llm.flat import pieces, slices, spread, text_buffer
 
 #: Distinct pieces a worker keeps with their ids; when full the store starts anew, so its memory has a bound.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 1_200_000
+#: Bytes of text that are encoded at a time: the more, the fewer pieces come up again.
+ENCODE_BYTES = 16 << 20
 
 _CODERS: dict[str, "Coder"] = {}
 
@@ -28,6 +31,7 @@ class Coder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,15 +40,15 @@ class Coder:
         codes, distinct, firsts = pieces(data, offsets)
         spelled = distinct.to_pylist()
         known = self.known
-        fresh = [p for p in spelled if p not in known]
+        stored = [known.get(p) for p in spelled]
+        fresh = [i for i, b in enumerate(stored) if b is None]
         if len(known) + len(fresh) > KEPT_PIECES:
             known.clear()
-            fresh = spelled
         for at in range(0, len(fresh), 20_000):
             part = fresh[at:at + 20_000]
-            coded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(e.ids, self.dtype).tobytes() for e in coded)))
-        stored = [known[p] for p in spelled]
+            coded = self.tokenizer.encode_batch_fast([spelled[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)
+            for i, e in zip(part, coded):
+                known[spelled[i]] = stored[i] = array(self.code, e.ids).tobytes()
         lengths = np.array([len(b) for b in stored], np.int64) // self.dtype.itemsize
         values = np.frombuffer(b"".join(stored), self.dtype)
         flat, begins = spread(codes, np.cumsum(lengths) - lengths, lengths, values)
@@ -68,5 +72,5 @@ def encoded(batches: Iterator[pa.RecordBatch], text: str, path: str, end: int) -
     """Slices of the batches with the ids of their texts and the offsets of each row's ids."""
     own = coder(path)
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, ENCODE_BYTES):
             yield part, *own.ids(part.column(text), end)
