@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, decision_list, mixing, simhash, string_kernel, token_files, top_k
+from moodtide.llm import best_fit, chat, decision_list, line_dedup, mixing, simhash, string_kernel, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,27 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = mix_levels()
     rows, leaves = mixing.plan(table(spark, sf_dir, "documents"), levels, MIX_WEIGHTS, MIX_EPOCHS, seed=MIX_SEED)
     return mixing.copies(rows, leaves, list(levels), MIX_SEED).select("doc_id", *levels, "n_tokens", "copies")
+
+
+LINE_SQL = """
+WITH l AS (
+  SELECT doc_id, i, x, list_transform(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'), lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+p AS (SELECT *, row_number() OVER (ORDER BY doc_id, i) AS pos FROM l),
+f AS (SELECT w, min(pos) AS first FROM p WHERE len(w) > 0 GROUP BY w),
+v AS (SELECT w, first, i, list_concat(w[1:i - 1], w[i + 1:]) AS v FROM (SELECT w, first, unnest(range(1, len(w) + 1)) AS i FROM f WHERE len(w) >= 5)),
+s AS (SELECT w, first, min(first) OVER (PARTITION BY v, i) AS other FROM v),
+n AS (
+  SELECT w FROM s WHERE other < first
+  UNION SELECT CASE WHEN v.first > f.first THEN v.w ELSE f.w END FROM v JOIN f ON f.w = v.v WHERE len(f.w) >= 5),
+k AS (SELECT p.*, len(p.w) > 0 AND (f.first < p.pos OR n.w IS NOT NULL) AS gone FROM p LEFT JOIN f ON p.w = f.w LEFT JOIN n ON p.w = n.w)
+SELECT doc_id, count(*) FILTER (len(w) > 0) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+FROM k GROUP BY doc_id
+"""
+
+
+@query("op5_line_dedup", LINE_SQL)
+def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that an earlier line repeats, up to one edited word."""
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
