@@ -48,15 +48,19 @@ def fingerprint(text: bytes, words: int) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def text_mark(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, fp`` of every row; ``fp`` is the fingerprint as a signed 64-bit number."""
+    """``id, mark, fp`` of every row: a hash of the text that tells rows of one id apart, and the fingerprint as a signed 64-bit number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.array([fingerprint(t, words) for t in batch.column("text").cast(pa.binary()).to_pylist()], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(marks, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), pa.array(marks, pa.int64())], ["id", "mark", "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "id bigint, fp bigint")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_mark(text).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "id bigint, mark bigint, fp bigint")
 
 
 def _quarter(place: int) -> Column:
@@ -144,7 +148,7 @@ def links(marks: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, fp, component_id`` of every row; the component is named by its smallest id."""
+    """``id, mark, fp, component_id, root`` of every row; a component is named by its smallest id, and ``root`` is one of its fingerprints."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "fingerprints")
     fingerprints(docs, words, doc_id, text).write.parquet(folder)
@@ -153,7 +157,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, doc_id: st
     roots = components(links(marks.select("fp"), radius)).withColumnRenamed("node", "fp")
     rooted = marks.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    return rows.join(rooted.join(named, "root").select("fp", "component_id", "root"), "fp").select("id", "mark", "fp", "component_id", "root")
 
 
 def hexadecimal(fp: str) -> Column:
