@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, decision_list, line_dedup, mixing, simhash, string_kernel, token_files, top_k
+from moodtide.llm import best_fit, chat, decision_list, line_dedup, mixing, simhash, string_kernel, suffix_tree, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,10 @@ FROM k GROUP BY doc_id
 def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that an earlier line repeats, up to one edited word."""
     return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op1_suffix_tree")
+def language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and suffix-tree scores of every document; a seventh by the id's checksum is held out."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return suffix_tree.score_texts(table(spark, sf_dir, "documents"), held)
