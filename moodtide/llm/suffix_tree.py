@@ -34,7 +34,7 @@ from moodtide.session import shared_dir
 BLOCK_TOKENS = 1_000_000
 #: Symbols of the corpus to a bucket, so that its questions fit in a task.
 BUCKET_TOKENS = 2_000_000
-LEAST_COUNT, LEAST_GAIN = 8, 12.0
+LEAST_COUNT, LEAST_GAIN = 4, 2.0
 
 _END = np.uint64(0x5851F42D4C957F2D)
 _BLOCKS = "block bigint, n bigint, ids array<bigint>, held binary, ends binary, codes binary, hashes binary"

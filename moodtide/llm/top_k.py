@@ -6,7 +6,8 @@ products. What has been read gives each candidate a lower and an upper score; on
 lower bound, reading stops and their scores are resolved. All queries of a block read the same positions, so one pass serves them together.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do null ids; an id that repeats counts once,
-with its smallest vector; only vectors of equal length meet; ties go to the smaller id; fewer candidates than k give all of them.
+with its smallest vector; only vectors of equal length meet; ties go to the smaller id; fewer candidates than k give all of them; a score beyond
+64 bits ranks as it is and is returned as the end of the range.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ def nearest(ids: np.ndarray, xs: np.ndarray, query_ids: np.ndarray, qs: np.ndarr
     most = max(1, int(np.abs(xs).max(initial=0))) * max(1, int(np.abs(qs).max(initial=0))) * max(1, dims)
     if most >= 1 << 52 or not dims:  # beyond exact floats: whole numbers without bounds
         scores = [(q, _exact(xs.astype(object), v)) for q, v in zip(query_ids, qs.astype(object))]
-        return [(int(q), int(ids[i]), int(s[i])) for q, s in scores for i in sorted((i for i in range(n) if ids[i] != q), key=lambda i: (-s[i], ids[i]))[:k]]
+        clip = lambda s: max(-1 << 63, min((1 << 63) - 1, int(s)))
+        return [(int(q), int(ids[i]), clip(s[i])) for q, s in scores for i in sorted((i for i in range(n) if ids[i] != q), key=lambda i: (-s[i], ids[i]))[:k]]
     kind = np.float32 if most < 1 << 24 else np.float64
     x, up_q = xs.astype(kind), np.maximum(qs, 0).astype(kind)
     down_q = np.minimum(qs, 0).astype(kind)
