@@ -191,8 +191,6 @@ def section_filter(desk: Desk):
 _NOISY = """concat(CASE WHEN page_id > 100 THEN replace(replace(url, 'http://', 'HTTP://'), '.example.', '.EXAMPLE.')
    ELSE replace(url, '.com/', '.com:443/') END,
   CASE WHEN contains(url, '#') THEN 'x=1' WHEN contains(url, '?') THEN '&b=%C3%A9+f&c=&UTM_ID=7&d~=a*b&e=50%&f' ELSE '' END)"""
-_DROP = ("utm_source utm_medium utm_campaign utm_term utm_content utm_name utm_id utm_brand utm_social utm_social-type "
-         "fbclid gclid dclid msclkid yclid ref refsrc cid ocid src source mc_cid mc_eid icid ncid ampcid amp_js_v mod st").split()
 _PAIR_NAME = "CASE WHEN contains(p, '=') THEN split_part(p, '=', 1) ELSE p END"
 _PAIR_VALUE = "CASE WHEN contains(p, '=') THEN substr(p, instr(p, '=') + 1) ELSE '' END"
 _DEC = lambda x: f"url_decode(regexp_replace(replace({x}, '+', ' '), '%($|[^0-9A-F])', '%25\\1', 'g'))"
@@ -205,7 +203,7 @@ _ENC = lambda x: f"replace(url_encode({_DEC(x)}), '%20', '+')"
  FROM (SELECT page_id, regexp_extract(u, '^[A-Za-z]+://([^/?#]+)', 1) AS host,
    regexp_extract(u, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1) AS path,
    array_to_string(list_transform(list_filter(string_split(regexp_extract(u, '[?]([^#]*)', 1), '&'),
-     lambda p: p <> '' AND NOT list_contains({_DROP!r}, lower({_DEC(_PAIR_NAME)}))),
+     lambda p: p <> '' AND NOT list_contains({urls.TRACKING_PARAMS!r}, lower({_DEC(_PAIR_NAME)}))),
      lambda p: {_ENC(_PAIR_NAME)} || '=' || {_ENC(_PAIR_VALUE)}), '&') AS q
   FROM (SELECT page_id, {_NOISY} AS u FROM pages))""")
 def canonical_url(desk: Desk):

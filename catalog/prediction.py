@@ -233,6 +233,7 @@ def prediction_summary(desk: Desk):
 @query("prediction_runs", f"""
  SELECT market, '2024-02-01 00:00:00.000000' AS run_at,
   CAST({dec("avg(CASE WHEN true_up = pred THEN 1.0 ELSE 0.0 END)", 5, 4)} AS DOUBLE) AS accuracy,
+  {fx("log10(arg_max(strategy_cumulative_return, date))")} AS strategy_log10,
   {fx("arg_max(buy_and_hold_return, date)", 4)} AS buy_and_hold_return, count(*) AS sample_days FROM v_curve GROUP BY 1""")
 def prediction_runs(desk: Desk):
     """One history row per market, appended to a table."""
@@ -240,4 +241,4 @@ def prediction_runs(desk: Desk):
     path = shared_dir(desk.spark, "runs")
     summary = backtest.backtest_summary(curve(desk))
     learning.prediction_run(summary, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
-    return desk.spark.read.parquet(path).drop("strategy_cumulative_return")  # may exceed its stored number format
+    return desk.spark.read.parquet(path).drop("strategy_cumulative_return")  # beyond the digits of a float; its logarithm is compared

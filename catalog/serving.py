@@ -167,10 +167,10 @@ _TERMS = r"""
 def top_keywords(desk: Desk):
     """Keywords of the 200 most pushed titles, which is what the report shows."""
     top = board(desk).orderBy(F.desc_nulls_last("Push_count"), "Article_id").limit(keywords.MAX_DOCS)
-    return keywords.top_keywords(top, "Article_id", "Title")
+    return keywords.top_keywords(top, "Article_id", "Title", max_terms=keywords.MAX_TERMS)
 
 
-@query("corpus_keywords", "SELECT * FROM (WITH " + _TERMS.replace("{top}", "v_texts").replace("lower(title)", "lower(content)") + ")")
+@query("corpus_keywords", "SELECT * FROM (WITH " + _TERMS.replace("{top}", "v_texts").replace("lower(title)", "lower(content)").replace("ORDER BY total DESC, term LIMIT 2000", "") + ")")
 def corpus_keywords(desk: Desk):
     """The same ranking over the whole texts of the whole corpus."""
     return keywords.top_keywords(desk.texts(), "article_id", "content")

@@ -37,5 +37,10 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def absent_from(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``known``. Never NOT IN: one null there would empty the result."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not in ``known``. Never NOT IN: one null there would empty the result.
+
+    Known keys are first cut down to those of ``df``: when ``df`` is a small batch Spark broadcasts its keys there, and the known side is
+    read but not shuffled.
+    """
+    mine = df.select(*keys).distinct()
+    return df.join(known.select(*keys).join(mine, list(keys), "left_semi"), list(keys), "left_anti")

@@ -5,37 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodtide.session import shared_dir
+
 # --- fixed values ---------------------------------------------------------------
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS, TOP_TERMS, MAX_DOCS = 2000, 20, 200
 # --------------------------------------------------------------------------------
 
 
-def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS,
-                 max_terms: int = MAX_TERMS) -> DataFrame:
-    """Terms with the largest sum of their length-normalised weights.
+def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS, max_terms: int | None = None) -> DataFrame:
+    """Terms with the largest sum of their length-normalised weights; idf = ln((1 + n) / (1 + df)) + 1.
 
-    The vocabulary is the ``max_terms`` most frequent terms (ties by term); idf = ln((1 + n) / (1 + df)) + 1.
+    The vocabulary is all terms, or with ``max_terms`` that many of the most frequent ones (ties by term). Terms are counted by document once and written;
+    totals, document numbers and weights come from that table.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     pairs = F.when(F.size("w") > 1, F.transform(
         F.sequence(F.lit(1), F.size("w") - 1),
         lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))).otherwise(
         F.array().cast("array<string>"))
-    terms = docs.select(F.col(doc_id).alias("doc"), words.alias("w")).select(
-        "doc", F.explode(F.concat("w", pairs)).alias("term"))
-
-    # The vocabulary needs totals only, and they add up before the shuffle. Its few terms are then all that is counted
-    # per document: the long tail of rare word pairs never gets there.
-    vocabulary = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"), "term").limit(max_terms)
-    vocabulary = vocabulary.select("term")
-    tf = (terms.join(F.broadcast(vocabulary), "term")  # at most ``max_terms`` rows
-          .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
-    found_in = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    spark = docs.sparkSession
+    folder = shared_dir(spark, "terms")
+    (docs.select(F.col(doc_id).alias("doc"), words.alias("w")).select("doc", F.explode(F.concat("w", pairs)).alias("term"))
+     .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(folder))
+    tf = spark.read.parquet(folder)
+    found_in = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    if max_terms is not None:
+        found_in = found_in.orderBy(F.desc("total"), "term").limit(max_terms)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.log((1 + n) / (1 + F.col("df"))) + 1
-    weighted = (tf.join(F.broadcast(found_in), "term")  # one row per term of the vocabulary
-                .select("doc", "term", (F.col("tf") * idf).alias("x")))
+    weighted = tf.join(found_in.drop("total"), "term").select("doc", "term", (F.col("tf") * idf).alias("x"))
     norm = weighted.groupBy("doc").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     return (weighted.join(norm, "doc").groupBy("term").agg(F.sum(F.col("x") / F.col("norm")).alias("score"))
             .orderBy(F.desc(F.round("score", 9)), F.desc("term")).limit(top)

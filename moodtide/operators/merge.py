@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.operators.dedup import latest
+from moodtide.operators.dedup import absent_from, latest
 from moodtide.session import shared_dir
 
 
@@ -23,7 +23,7 @@ def insert_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str], fi
 
 def new_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> DataFrame:
     """The rows that ``insert_absent`` adds."""
-    fresh = updates.join(target.select(*keys), list(keys), "left_anti")
+    fresh = absent_from(updates, target, keys)
     rest = [c for c in updates.columns if c not in keys]
     return (fresh.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*first_by)).alias("_row"))
             .select(*keys, "_row.*").select(*updates.columns))
@@ -56,9 +56,16 @@ def write_version(df: DataFrame, folder: str, version: str, partition_by: Sequen
     return path
 
 
-def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str], touched: Sequence | None = None) -> None:
     """Overwrite only the partitions present in ``df``, which may itself read from ``path``.
 
+    ``touched`` are values of a single partition column that ``df`` was made for; those it has no row of any more lose their partition.
+
     The rows are first written to the shared folder: an executor lost half way then never leaves the target with
     partitions that are gone but not yet rewritten from themselves. The final write gathers small partitions into few
     files and splits a partition that holds far more rows than others over several tasks.
@@ -68,3 +75,8 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_
     (spark.read.schema(df.schema).parquet(staging)
      .hint("rebalance", *partition_by)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    if touched is not None:
+        left = {r[0] for r in spark.read.schema(df.schema).parquet(staging).select(partition_by[0]).distinct().collect()}
+        for value in set(touched) - left:
+            _delete(spark, f"{path.rstrip('/')}/{partition_by[0]}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    _delete(spark, staging)

@@ -130,7 +130,7 @@ def table_checks(articles: DataFrame, comments: DataFrame, scores: DataFrame, so
         Rule(20 + i, "push_count_not_null", name,
              F.count_if((F.col("source_name") == name) & F.col("push_count").isNull()),
              F.count_if(F.col("source_name") == name))
-        for i, name in enumerate(config.push_sources())]
+        for i, name in enumerate(config.crawled(has_push_count=True))]
     article_rules = [not_empty(2, "articles"), *[
         not_null(10 + i, "articles", c) for i, c in enumerate(["title", "content", "url", "published_at"])], *push_rules]
     ids = articles.select("article_id")

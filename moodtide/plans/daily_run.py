@@ -6,7 +6,7 @@ import logging
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,7 @@ class StepResult:
     status: str
     seconds: float
     error: str | None = None
+    started: datetime | None = None
 
 
 class RunAborted(RuntimeError):
@@ -47,12 +48,12 @@ def run(steps: dict[str, Callable[[], object]]) -> list[StepResult]:
     for name, required in STEPS.items():
         if name not in steps:
             continue
-        start = time.monotonic()
+        start, at = time.monotonic(), datetime.now(timezone.utc).replace(tzinfo=None)
         try:
             steps[name]()
-            results.append(StepResult(name, "success", time.monotonic() - start))
+            results.append(StepResult(name, "success", time.monotonic() - start, None, at))
         except Exception as error:  # a step may fail in any way; the rule below decides
-            results.append(StepResult(name, "failure", time.monotonic() - start, str(error)))
+            results.append(StepResult(name, "failure", time.monotonic() - start, str(error), at))
             if required:
                 raise RunAborted(results) from error
             log.warning("step %s failed, run goes on: %s", name, error)
@@ -61,8 +62,19 @@ def run(steps: dict[str, Callable[[], object]]) -> list[StepResult]:
 
 def run_log(spark: SparkSession, results: Sequence[StepResult]) -> DataFrame:
     """Step results as rows of the run log that monitoring reads."""
-    return spark.createDataFrame([(r.step, r.status, r.seconds, r.error) for r in results],
-                                 "step string, status string, seconds double, error string")
+    return spark.createDataFrame([(r.started, r.step, r.status, r.seconds, r.error) for r in results],
+                                 "ts timestamp_ntz, step string, status string, seconds double, error string")
+
+
+def run_logged(lake: Lake, steps: dict[str, Callable[[], object]]) -> list[StepResult]:
+    """:func:`run`, with its log appended to the lake's ``run_log`` however the run ends."""
+    try:
+        results = run(steps)
+    except RunAborted as aborted:
+        lake.append("run_log", run_log(lake.spark, aborted.results))
+        raise
+    lake.append("run_log", run_log(lake.spark, results))
+    return results
 
 
 # -- the steps over a lake ------------------------------------------------------------------------
@@ -98,16 +110,18 @@ def lake_steps(lake: Lake, landed: DataFrame, now: datetime, scorer: learning.Sc
         if lake.exists("raw_responses"):
             documents = documents.unionByName(lake.read("raw_responses"))
         lake.replace("raw_responses", landing.latest_responses(documents))
-        # What was parsed is written once; the raw layer and the tables are filled from there.
-        lake.replace("scraped", ingest.scraped(landed, stamp))
+        # What was parsed is written once, with pseudonyms; the raw layer and the tables are filled from there.
+        lake.replace("scraped", ingest.masked(ingest.scraped(landed, stamp)))
         found = lake.read("scraped")
         landing.append(landing.raw_articles(found, F.col("source_name"), stamp), lake.path("raw_articles"))
         stored = lake.read("articles")
         first = (stored.agg(F.max("article_id")).head()[0] or 0) + 1
         lake.replace("new_articles", ingest.new_articles(found, stored, lake.read("sources"), first, stamp))
         fresh = lake.read("new_articles")
+        # Comments go first: articles make an address known, and a run that ends in between must find it unknown again.
+        # Comments of ids that no article has are what such a run left behind.
+        lake.replace("comments", lake.read("comments").where(F.col("article_id") < first).unionByName(ingest.new_comments(fresh)))
         lake.replace("articles", stored.unionByName(fresh.drop("comments")))
-        lake.replace("comments", lake.read("comments").unionByName(ingest.new_comments(fresh)))
 
     def checks(articles: DataFrame) -> DataFrame:
         price = lake.read("prices")
@@ -125,8 +139,11 @@ def lake_steps(lake: Lake, landed: DataFrame, now: datetime, scorer: learning.Sc
         lake.replace("expectations", report)
 
     def mask() -> None:
+        """New rows are written with pseudonyms; only a table that older runs filled with names is written again."""
         for name in ("articles", "comments"):
-            lake.replace(name, lake.read(name).withColumn("author", pii.mask_author(F.col("author"))))
+            rows = lake.read(name)
+            if not rows.where(~F.col("author").eqNullSafe(pii.mask_author(F.col("author")))).isEmpty():
+                lake.replace(name, rows.withColumn("author", pii.mask_author(F.col("author"))))
 
     def score() -> None:
         if scorer is None:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtide.functions import text
+from moodtide.functions import pii, text
 from moodtide.operators import merge, quality
 from moodtide.operators.numbering import ranked
 from moodtide.sources import feeds, parsers
@@ -85,6 +85,13 @@ def scraped(landed: DataFrame, as_of) -> DataFrame:
     return quality.validate_articles(rows, as_of).where("valid").drop("valid", "reasons")
 
 
+def masked(rows: DataFrame) -> DataFrame:
+    """Authors of articles and of their nested comments as pseudonyms."""
+    comments = F.transform("comments", lambda c: F.struct(
+        pii.mask_author(c["author"]).alias("author"), c["push_tag"].alias("push_tag"), c["message"].alias("message")))
+    return rows.withColumns({"author": pii.mask_author(F.col("author")), "comments": comments})
+
+
 def new_articles(found: DataFrame, stored: DataFrame, sources: DataFrame, first_id: int, scraped_at) -> DataFrame:
     """Articles whose address is not stored yet, numbered on from ``first_id``; nested comments still attached."""
     fresh = merge.new_rows(stored, found.withColumn("_order", F.sha2(F.to_json(F.struct("title", "source_name", "published_at")), 256)),

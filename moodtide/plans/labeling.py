@@ -30,7 +30,7 @@ def next_batch(open_articles: DataFrame, size: int) -> DataFrame:
 
 def label_candidates(articles: DataFrame, sources: DataFrame, labels: DataFrame, lang: str) -> DataFrame:
     """Articles of one language with a title and without a label."""
-    names = sources.where(F.col("source_name").isin(config.sources_by_lang(lang))).select("source_id", "source_name")
+    names = sources.where(F.col("source_name").isin(config.crawled(lang=lang))).select("source_id", "source_name")
     return (articles.where(F.col("title") != "").join(names, "source_id")
             .join(labels.select("article_id"), "article_id", "left_anti"))
 

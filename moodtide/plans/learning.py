@@ -134,8 +134,9 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 
 
 def prediction_run(summary: DataFrame, run_at: Column) -> DataFrame:
-    """History rows of a run, in the stored number formats."""
+    """History rows of a run, in the stored number formats; a return beyond its format still has its logarithm."""
     return summary.select(
         "market", run_at.alias("run_at"), numeric(F.col("accuracy"), 5, 4).alias("accuracy"),
-        F.col("strategy_cumulative_return").try_cast("decimal(10,4)").alias("strategy_cumulative_return"),
-        F.col("buy_and_hold_return").try_cast("decimal(10,4)").alias("buy_and_hold_return"), "sample_days")
+        F.round("strategy_cumulative_return", 10).try_cast("decimal(38,4)").alias("strategy_cumulative_return"),
+        F.log10("strategy_cumulative_return").alias("strategy_log10"),
+        F.round("buy_and_hold_return", 10).try_cast("decimal(38,4)").alias("buy_and_hold_return"), "sample_days")

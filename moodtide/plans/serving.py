@@ -163,7 +163,7 @@ def sentiment_vs_next_day(mart: DataFrame, prices: DataFrame, today: Column, per
 
 def sentiment_vs_next_day_market(posts: DataFrame, prices: DataFrame, market: str) -> DataFrame:
     """Article-level mean over the sources of one market. ``posts``: date, source_name, score."""
-    daily = (posts.where(F.col("source_name").isin(config.sources_by_market(market)) & F.col("score").isNotNull())
+    daily = (posts.where(F.col("source_name").isin(config.crawled(market=market)) & F.col("score").isNotNull())
              .groupBy(F.col("date").alias("sentiment_date")).agg(F.avg("score").alias("avg_sentiment")))
     return next_day_pairs(daily, prices).orderBy("sentiment_date")
 

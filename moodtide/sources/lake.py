@@ -26,7 +26,9 @@ class Lake:
         try:
             self.spark.read.parquet(path)
             return True
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
 
     def exists(self, name: str) -> bool:

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.operators import merge
-from moodtide.operators.dedup import latest
+from moodtide.operators import merge, monitoring
+from moodtide.operators.dedup import absent_from, earliest, latest
 from moodtide.plans import staging, warehouse
+from moodtide.session import shared_dir
 
 
 def _run(stream: DataFrame, each_batch, checkpoint: str, mode: str = "append") -> None:
@@ -53,70 +54,105 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
 
 
 # -- hourly counts -----------------------------------------------------------------------------------
-def hourly_ingest(raw: DataFrame, path: str, checkpoint: str, late_by: str = "2 days") -> None:
-    """Rows per source and hour. Hours older than the watermark leave the state; each batch writes changed hours."""
-    counts = (raw.withColumn("at", F.col("ingested_at").cast("timestamp")).withWatermark("at", late_by)
-              .groupBy(F.window("at", "1 hour").alias("w"), "source_name").agg(F.count(F.lit(1)).alias("new_articles"))
-              .select(F.col("w.start").alias("hour"), "source_name", "new_articles"))
-    _run(counts, lambda b, i: b.write.mode("overwrite").parquet(_batch_folder(path, i)), checkpoint, "update")
+def hourly_ingest(raw: DataFrame, path: str, checkpoint: str) -> None:
+    """Rows per source and hour of each batch. No state and no horizon: a row of any age counts in the batch that brings it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        monitoring.hourly_ingest(batch).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+
+    _run(raw, write, checkpoint)
 
 
 def current_hourly(spark: SparkSession, path: str) -> DataFrame:
-    log = spark.read.parquet(path)
-    return latest(log, ["hour", "source_name"], ["batch_id"]).select("hour", "source_name", "new_articles")
+    return spark.read.parquet(path).groupBy("hour", "source_name").agg(F.sum("new_articles").alias("new_articles"))
 
 
 # -- re-deliveries -----------------------------------------------------------------------------------
-def first_deliveries(raw: DataFrame, path: str, checkpoint: str, horizon: str = "2 days") -> None:
-    """First delivery of every URL.
-
-    Repeats inside the horizon are dropped by the stream's state; older ones by an anti join with what is stored.
-    """
+def first_deliveries(raw: DataFrame, path: str, checkpoint: str) -> None:
+    """First delivery of every URL, however old it is: a batch is reduced to one row a URL and loses the URLs that are stored."""
     urls = raw.select(F.get_json_object("raw_payload", "$.url").alias("url"), "source_name", "raw_id",
-                      F.col("ingested_at").cast("timestamp").alias("ingested_at"))
-    fresh = urls.withWatermark("ingested_at", horizon).dropDuplicatesWithinWatermark(["url"])
+                      F.col("ingested_at").cast("timestamp").alias("ingested_at")).where("url IS NOT NULL")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = spark.read.schema("url string, batch_id bigint").option("basePath", path).parquet(path) \
-            .where(F.col("batch_id") < batch_id) if batch_id > 0 else None
-        new = batch if stored is None else batch.join(stored.select("url"), "url", "left_anti")
+        new = earliest(batch, ["url"], ["ingested_at", "raw_id"])
+        if batch_id > 0:
+            stored = batch.sparkSession.read.schema("url string, batch_id bigint").option("basePath", path).parquet(path)
+            new = absent_from(new, stored.where(F.col("batch_id") < batch_id), ["url"])
         new.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-    _run(fresh, write, checkpoint)
+    _run(urls, write, checkpoint)
 
 
 # -- daily fact ----------------------------------------------------------------------------------------
 def refresh_fact(articles: DataFrame, scores: DataFrame, sources: DataFrame, article_log: str, fact_path: str,
-                 checkpoint: str) -> None:
-    """Recompute only the days that a batch touched: days of new articles and of newly scored ones.
+                 checkpoint: str, score_log: str | None = None) -> None:
+    """Recompute only the days that are touched: days of new articles, days an article has left, and days of newly scored ones.
 
-    ``articles`` is the stream; ``scores`` and ``sources`` are tables, read as of each batch.
+    ``articles`` is the stream; ``scores`` and ``sources`` are tables, read as of each batch. The scores a run has seen are noted in
+    ``score_log``, so that the next run finds the new and the changed ones even when no article came.
     """
     spark = sources.sparkSession
     dims = warehouse.dim_source(sources)
+    score_log = score_log or f"{article_log.rstrip('/')}-scores"
+    done: set = set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("published_day", F.to_date("published_at")).write.mode("overwrite")
-         .partitionBy("published_day").parquet(_batch_folder(article_log, batch_id)))
-        days = spark.read.parquet(_batch_folder(article_log, batch_id)).select("published_day").distinct()
+        rows = batch.withColumn("published_day", F.to_date("published_at"))
+        one = rows.groupBy("article_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "article_id"]), F.xxhash64(*rows.columns)).alias("r"))
+        one.select("article_id", "r.*").write.mode("overwrite").partitionBy("published_day").parquet(_batch_folder(article_log, batch_id))
+        mine = _log(spark, article_log).where(F.col("batch_id") == batch_id).select("article_id")
+        days = _days(_log(spark, article_log).join(mine, "article_id", "left_semi"))
         recompute_days(spark, article_log, scores, sources, dims, days, fact_path)
+        done.update(days)
 
     _run(articles, write, checkpoint)
+    if not _has_rows(spark, article_log):
+        return
+    now = scores.select("article_id", F.xxhash64("score").alias("mark"))
+    new = absent_from(now, spark.read.parquet(score_log), ["article_id", "mark"]) if _has_rows(spark, score_log) else now
+    folder = shared_dir(spark, "new-scores")
+    new.write.parquet(folder)
+    new = spark.read.parquet(folder)
+    recompute_days(spark, article_log, scores, sources, dims, [d for d in days_of_scores(spark, article_log, new) if d not in done], fact_path)
+    new.write.mode("append").parquet(score_log)
 
 
-def recompute_days(spark: SparkSession, article_log: str, scores: DataFrame, sources: DataFrame, dims: DataFrame,
-                   days: DataFrame, fact_path: str) -> None:
-    """Fact rows of the given days from the stored articles, replacing those days only.
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
-    Days are a calendar, so they prune the stored articles by partition instead of scanning all of them.
-    """
-    stored = spark.read.parquet(article_log).join(F.broadcast(days), "published_day", "left_semi")
-    fact = warehouse.fact_sentiment(stored, scores, sources, dims)
-    merge.replace_partitions(spark, fact, fact_path, ["fact_date"])
+
+_LOG_DAY = "published_day"
 
 
-def days_of_scores(spark: SparkSession, article_log: str, new_scores: DataFrame) -> DataFrame:
+def _log(spark: SparkSession, article_log: str) -> DataFrame:
+    """The article log with day and batch typed, whatever values its folders have."""
+    rows = spark.read.parquet(article_log)
+    return rows.withColumns({_LOG_DAY: F.col(_LOG_DAY).cast("date"), "batch_id": F.col("batch_id").cast("bigint")})
+
+
+def _days(rows: DataFrame) -> list:
+    """The days of the rows, null among them. A calendar has few, so they go to the driver and prune partitions from there."""
+    return [r[0] for r in rows.select(_LOG_DAY).distinct().collect()]
+
+
+def recompute_days(spark: SparkSession, article_log: str, scores: DataFrame, sources: DataFrame, dims: DataFrame,
+                   days: list, fact_path: str) -> None:
+    """Fact rows of the given days from the stored articles, replacing those days only; articles without a day are a day of their own.
+
+    Days prune the stored articles by partition. Of an article that came again only the last version counts, whatever its day.
+    """
+    if not days:
+        return
+    log = _log(spark, article_log)
+    known = [d for d in days if d is not None]
+    in_days = F.col(_LOG_DAY).isin(known) if known else F.lit(False)
+    stored = log.where(in_days | F.col(_LOG_DAY).isNull() if None in days else in_days)
+    versions = log.select("article_id", "batch_id").join(stored.select("article_id"), "article_id", "left_semi")
+    last = versions.groupBy("article_id").agg(F.max("batch_id").alias("batch_id"))
+    fact = warehouse.fact_sentiment(stored.join(last, ["article_id", "batch_id"], "left_semi"), scores, sources, dims)
+    merge.replace_partitions(spark, fact, fact_path, ["fact_date"], days)
+
+
+def days_of_scores(spark: SparkSession, article_log: str, new_scores: DataFrame) -> list:
     """Days whose articles were scored since the last run."""
-    return (spark.read.parquet(article_log).join(new_scores.select("article_id"), "article_id", "left_semi")
-            .select("published_day").distinct())
+    return _days(_log(spark, article_log).join(new_scores.select("article_id"), "article_id", "left_semi"))

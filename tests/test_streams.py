@@ -54,7 +54,7 @@ def test_hourly_counts_equal_batch(spark, landed, tmp_path):
 
 def test_first_deliveries_are_unique(spark, landed, tmp_path):
     out = str(tmp_path / "urls")
-    jobs.first_deliveries(stream(spark, landed), out, str(tmp_path / "cp"), horizon="1 hour")
+    jobs.first_deliveries(stream(spark, landed), out, str(tmp_path / "cp"))
     assert sorted(r["url"] for r in spark.read.parquet(out).collect()) == ["u1", "u2", "u3", "u4"]
 
 
@@ -73,7 +73,40 @@ def test_fact_recomputes_touched_days_only(spark, tmp_path):
     assert read() == [("2024-01-01", 2, 1, 0.5), ("2024-01-02", 1, 1, -0.5)]
     late = spark.createDataFrame([(3, -0.5)], "article_id long, score double")
     days = jobs.days_of_scores(spark, log, late)
-    assert [str(r[0]) for r in days.collect()] == ["2024-01-01"]
+    assert [str(d) for d in days] == ["2024-01-01"]
     jobs.recompute_days(spark, log, scores.unionByName(late), sources, warehouse.dim_source(sources), days, fact)
     assert read() == [("2024-01-01", 2, 2, 0.0), ("2024-01-02", 1, 1, -0.5)]
     assert spark.read.parquet(fact).select(F.sum("article_count")).head()[0] == 3
+
+
+def _batches(spark, folder, files, schema):
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_rows_of_any_age_count_and_are_first_deliveries(spark, tmp_path):
+    """A file from 400 days before the newest one comes last: back-fills are exactly that."""
+    old = T0 - timedelta(days=400)
+    files = [[(1, "cnn", payload("u1", "a"), T0)], [(2, "cnn", payload("u2", "b"), T0 + timedelta(days=9))],
+             [(3, "cnn", payload("u3", "c"), old), (4, "cnn", payload("u1", "again"), old), (5, "cnn", payload("u3", "c"), old)]]
+    raw = _batches(spark, str(tmp_path / "raw"), files, SCHEMA)
+    jobs.hourly_ingest(raw, str(tmp_path / "hours"), str(tmp_path / "cp1"))
+    assert jobs.current_hourly(spark, str(tmp_path / "hours")).agg(F.sum("new_articles")).head()[0] == 5
+    jobs.first_deliveries(raw, str(tmp_path / "urls"), str(tmp_path / "cp2"))
+    assert sorted((r["url"], r["raw_id"]) for r in spark.read.parquet(str(tmp_path / "urls")).collect()) == [("u1", 1), ("u2", 2), ("u3", 3)]
+
+
+def test_fact_of_null_days_repeated_and_moved_articles_and_later_scores(spark, tmp_path):
+    schema = "article_id long, source_id int, published_at timestamp_ntz, push_count int"
+    day = lambda n: T0 + timedelta(days=n)
+    folder, log, fact, checkpoint = (str(tmp_path / n) for n in ("articles", "log", "fact", "cp"))
+    source = _batches(spark, folder, [[(1, 4, None, 1), (2, 4, day(0), 1)], [(2, 4, day(0), 3), (3, 4, day(1), 1)], [(3, 4, day(2), 1)]], schema)
+    sources = spark.createDataFrame([(4, "cnn", "u")], "source_id int, source_name string, url string")
+    none = spark.createDataFrame([], "article_id long, score double")
+    jobs.refresh_fact(source, none, sources, log, fact, checkpoint)
+    read = lambda: sorted((str(r["fact_date"]), r["article_count"], r["scored_articles"]) for r in spark.read.parquet(fact).collect())
+    assert read() == [("2024-01-01", 1, 0), ("2024-01-03", 1, 0), ("None", 1, 0)]
+    scores = spark.createDataFrame([(1, 0.5), (3, 0.5)], "article_id long, score double")
+    jobs.refresh_fact(source, scores, sources, log, fact, checkpoint)  # no new article
+    assert read() == [("2024-01-01", 1, 0), ("2024-01-03", 1, 1), ("None", 1, 1)]
