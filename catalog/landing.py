@@ -113,16 +113,17 @@ def sitemap_entries(desk: Desk):
  SELECT 'https://s.example/index-' || event_id || '.xml' AS root, 'https://s.example/' || event_id || '.xml' AS sitemap, url, title, published_at
  FROM ({_ENTRIES})""")
 def sitemap_index(desk: Desk):
-    """Indexes of one or two levels over the sitemaps; some listed documents were never landed."""
+    """Indexes of one or six levels over the sitemaps; some listed documents were never landed."""
     maps = sitemaps(desk)
     listed = lambda loc: text("<sitemap><loc>", loc, "</loc></sitemap>")
     index = lambda *parts: text("<sitemapindex>", *parts, "</sitemapindex>")
     missing = text("https://s.example/gone-", c("event_id"), ".xml")
-    sub = text("https://s.example/sub-", c("event_id"), ".xml")
+    sub = lambda level: text(f"https://s.example/sub{level}-", c("event_id"), ".xml")
     deep = c("value") > 100
     roots = maps.select(text("https://s.example/index-", c("event_id"), ".xml").alias("url"),
-                        index(listed(F.when(deep, sub).otherwise(c("url"))), listed(missing)).alias("body"))
-    subs = maps.where(deep).select(sub.alias("url"), index(listed(c("url"))).alias("body"))
+                        index(listed(F.when(deep, sub(1)).otherwise(c("url"))), listed(missing)).alias("body"))
+    chain = F.explode(F.array(*[F.struct(sub(i).alias("url"), index(listed(c("url") if i == 5 else sub(i + 1))).alias("body")) for i in range(1, 6)]))
+    subs = maps.where(deep).select(chain.alias("s")).select("s.*")
     return feeds.expand_index(roots, maps.select("url", "body").unionByName(subs)).select(
         "root", "sitemap", "url", "title", "published_at")
 

@@ -168,17 +168,5 @@ def tag_with_class(tag: str, name: str) -> Callable[[Column], Column]:
 
 
 def html_to_text(body: Column, separator: str = "\n") -> Column:
-    """Text of an HTML fragment, its pieces joined by ``separator``. For API bodies, which hold simple mark-up only."""
-    tagless = F.regexp_replace(body, r"(?s)<!--.*?-->|<[^>]+>", "\u0000")
-    parts = F.filter(F.split(tagless, "\u0000"), lambda x: x != "")
-    return strip(unescape(F.array_join(parts, separator)))
-
-
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&amp;", "&")]  # fixed values; the ampersand comes last
-
-
-def unescape(c: Column) -> Column:
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Text of an HTML fragment, its non-empty pieces joined by ``separator``; scripts and styles have none, references are read."""
+    return strip(F.array_join(F.filter(outline(body)["texts"], lambda x: x != ""), separator))

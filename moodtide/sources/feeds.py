@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from moodtide.functions import dates, text, urls
 from moodtide.functions.once import computed_once
+from moodtide.session import shared_dir
 
 _ENTRY = "struct<loc:string,`news:news`:struct<`news:title`:string,`news:publication_date`:string>>"
 _URLSET = f"struct<url:array<{_ENTRY}>>"
-_INDEX = "struct<sitemap:array<struct<loc:string>>>"
-MAX_INDEX_LEVELS = 3
+_EITHER = f"struct<url:array<{_ENTRY}>,sitemap:array<struct<loc:string>>>"
 
 
 def _entry_columns(url: Column) -> list[Column]:
@@ -51,23 +51,27 @@ def read_sitemap_files(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*_entry_columns(F.struct("loc", F.col("`news:news`")))).where(_complete())
 
 
-def expand_index(roots: DataFrame, documents: DataFrame, levels: int = MAX_INDEX_LEVELS) -> DataFrame:
-    """Entries of all sitemaps below the given roots. ``roots`` and ``documents``: url, body.
+def expand_index(roots: DataFrame, documents: DataFrame) -> DataFrame:
+    """Entries of all sitemaps below the given roots, however deep. ``roots`` and ``documents``: url, body.
 
-    An index lists further documents, which are looked up among the landed ones; a fixed number of levels keeps an
-    index that lists itself from running on.
+    An index lists further documents, which are looked up among the landed ones. Each document is parsed once below a root: a level holds only
+    addresses that no level above it held, so an index that lists itself ends. Levels are written to the shared folder.
     """
-    level, found = roots.select(F.col("url").alias("root"), "url", "body"), None
-    for depth in range(levels):
-        # Entries are read from every document of the level; an index has none.
-        rows = sitemap_entries(level.withColumnRenamed("url", "sitemap"), keep=("root", "sitemap"))
-        found = rows if found is None else found.unionByName(rows)
-        if depth + 1 == levels:
+    spark = roots.sparkSession
+    folder = shared_dir(spark, "sitemaps")
+    level, depth = roots.select(F.col("url").alias("root"), "url", "body"), 0
+    while True:
+        level.select("root", "url", F.from_xml("body", _EITHER).alias("d")).write.parquet(f"{folder}/{depth}")
+        parsed = spark.read.parquet(f"{folder}/{depth}")
+        every = spark.read.parquet(*[f"{folder}/{i}" for i in range(depth + 1)])
+        children = parsed.select("root", F.explode("d.sitemap").alias("s")).select("root", text.strip(F.col("s.loc")).alias("url")).where("url <> ''")
+        fresh = children.distinct().join(every.select("root", "url"), ["root", "url"], "left_anti")
+        depth += 1
+        level = fresh.join(documents.select("url", "body"), "url").select("root", "url", "body")
+        if level.isEmpty():
             break
-        children = level.select("root", F.explode(F.from_xml("body", _INDEX)["sitemap"]).alias("s")).select(
-            "root", text.strip(F.col("s.loc")).alias("url")).where("url <> ''")
-        level = children.join(documents.select("url", "body"), "url").select("root", "url", "body")
-    return found
+    entries = every.select("root", F.col("url").alias("sitemap"), F.posexplode("d.url").alias("position", "entry"))
+    return entries.select("root", "sitemap", "position", *_entry_columns(F.col("entry"))).where(_complete())
 
 
 def merge_feeds(news: DataFrame, month: DataFrame) -> DataFrame:

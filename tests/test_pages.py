@@ -108,8 +108,12 @@ def test_sitemap_files_and_index(spark, tmp_path):
                                   "url string, body string")
     got = feeds.expand_index(roots, docs).collect()
     assert [(r["root"], r["sitemap"], r["url"]) for r in got] == [("r", "m1", "https://x/1")]
-    # An index that lists itself ends after the fixed number of levels.
-    assert feeds.expand_index(docs.where("url = 'loop'"), docs).count() == 2
+    # An index that lists itself ends: every document counts once below a root.
+    assert feeds.expand_index(docs.where("url = 'loop'"), docs).count() == 1
+    # Any depth is followed.
+    chain = docs.unionByName(spark.createDataFrame([(f"i{i}", f"<sitemapindex><sitemap><loc>{f'i{i + 1}' if i < 6 else 'm1'}</loc></sitemap></sitemapindex>")
+                                                    for i in range(7)], "url string, body string"))
+    assert [r["sitemap"] for r in feeds.expand_index(chain.where("url = 'i0'"), chain).collect()] == ["m1"]
 
 
 def test_archive_index(spark):
