@@ -58,8 +58,8 @@ def stg_sources_v2(desk: Desk):
     return staging.stage_sources(desk.raw_sources())
 
 
-def _with_sentiment(desk: Desk):
-    return staging.articles_with_sentiment(staging.stage_articles(desk.raw_articles()), staging.stage_scores(desk.raw_scores()))
+def _with_sentiment(desk: Desk, columns: list[str] | None = None):
+    return staging.articles_with_sentiment(staging.stage_articles(desk.raw_articles(), columns), staging.stage_scores(desk.raw_scores()))
 
 
 @query("int_articles_with_sentiment", f"""
@@ -170,7 +170,7 @@ def mood_v1(desk: Desk):
 
 
 def mood_v2(desk: Desk):
-    return warehouse.fact_mood_v2(_with_sentiment(desk), staging.stage_sources(desk.raw_sources()))
+    return warehouse.fact_mood_v2(_with_sentiment(desk, ["url", "source_name", "scraped_at"]), staging.stage_sources(desk.raw_sources()))
 
 
 @query("fact_sentiment_dbt", f"SELECT {_MOOD} FROM v_fact_mood")
@@ -331,7 +331,7 @@ def parse_and_hash_v1_v2(desk: Desk):
     """Both branches have to agree on author and time of every URL."""
     v1 = desk.articles().select("url", pii.pii_hash(c("author")).alias("hash"),
                                 F.date_trunc("second", "published_at").cast("timestamp_ntz").alias("at"))
-    both = v1.join(staging.stage_articles(desk.raw_articles()), "url")
+    both = v1.join(staging.stage_articles(desk.raw_articles(), ["url", "author_hash", "published_at"]), "url")
     return both.agg(F.count(F.lit(1)).alias("urls"), F.count_if(c("hash") == c("author_hash")).alias("same_author"),
                     F.count_if(c("at") == c("published_at")).alias("same_time"))
 

@@ -24,35 +24,55 @@ def _ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def extract_articles(raw: DataFrame) -> DataFrame:
-    """Typed fields of each raw delivery; the payload is parsed once."""
+#: Staged columns and the payload field each is read from.
+_FIELD_OF = {"title": "title", "author_hash": "author", "content": "content", "push_count": "push_count", "published_at": "published_at",
+             "scraped_at": "scraped_at"}
+_STAGED = ["article_id", "url", "source_name", "title", "author_hash", "content", "push_count", "published_at", "scraped_at", "ingest_time", "source_system"]
+
+
+def extract_articles(raw: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Typed fields of each raw delivery; the payload is parsed once. ``fields`` limits them to some payload fields besides the URL."""
+    wanted = [f for f in _ARTICLE_FIELDS if f == "url" or fields is None or f in fields]
     p = computed_once(raw, "raw_id", "source_name", "ingested_at",
-                      F.from_json("raw_payload", _fields(_ARTICLE_FIELDS)).alias("p"))
-    source = F.col("source_name")
-    return p.select(
-        text.blank_to_null(F.col("p.url")).alias("url"),
-        "raw_id", "source_name", "ingested_at",
-        text.blank_to_null(F.col("p.title")).alias("title"),
-        text.blank_to_null(F.col("p.author")).alias("author_raw"),
-        F.nullif(F.col("p.content"), F.lit("")).alias("content"),
-        text.guarded_int(F.col("p.push_count")).alias("push_count"),
-        _ntz(dates.parse_date_by_source(F.col("p.published_at"), source)).alias("published_at"),
-        _ntz(dates.parse_date_by_source(F.col("p.scraped_at"), source)).alias("scraped_raw"),
-    )
-
-
-def stage_articles(raw: DataFrame) -> DataFrame:
-    """Latest delivery per URL; the id is the smallest raw id the URL ever had, so it never changes."""
-    rows = extract_articles(raw).where("url IS NOT NULL")
-    last = latest(rows, ["url"], ["ingested_at", "raw_id"], [F.min("raw_id").alias("article_id")])
-    return last.select(
-        "article_id", "url", "source_name", "title",
-        pii.pii_hash(F.col("author_raw")).alias("author_hash"),
-        "content", "push_count", "published_at",
-        F.coalesce("scraped_raw", "ingested_at").alias("scraped_at"),
-        F.col("ingested_at").alias("ingest_time"),
-        F.lit("raw_articles").alias("source_system"),
-    )
+                      F.from_json("raw_payload", _fields(wanted)).alias("p"))
+    field, source = (lambda f: F.col(f"p.{f}")), F.col("source_name")
+    typed = {
+        "title": lambda: text.blank_to_null(field("title")).alias("title"),
+        "author": lambda: text.blank_to_null(field("author")).alias("author_raw"),
+        "content": lambda: F.nullif(field("content"), F.lit("")).alias("content"),
+        "push_count": lambda: text.guarded_int(field("push_count")).alias("push_count"),
+        "published_at": lambda: _ntz(dates.parse_date_by_source(field("published_at"), source)).alias("published_at"),
+        "scraped_at": lambda: _ntz(dates.parse_date_by_source(field("scraped_at"), source)).alias("scraped_raw"),
+    }
+    return p.select(text.blank_to_null(field("url")).alias("url"), "raw_id", "source_name", "ingested_at", *[typed[f]() for f in wanted if f != "url"])
+
+
+_RAW_IDS = 10**19  # more than any 64-bit id
+
+
+def winners(raw: DataFrame) -> DataFrame:
+    """``url, article_id, raw_id``: the smallest id a URL ever had and the id of its latest delivery.
+
+    Time and id are one decimal, which a hash aggregate can hold: each input partition is reduced without a sort, and only numbers are shuffled.
+    """
+    address = computed_once(raw, F.from_json("raw_payload", _fields(["url"])).alias("p"), "raw_id", "ingested_at")
+    keys = address.select(text.blank_to_null(F.col("p.url")).alias("url"), "raw_id", "ingested_at").where("url IS NOT NULL")
+    at = F.coalesce(F.unix_micros(F.col("ingested_at").cast("timestamp")), F.lit(-(10**17)))
+    place = (at.cast("decimal(19,0)") * F.lit(str(_RAW_IDS)).cast("decimal(20,0)")).cast("decimal(38,0)") + F.col("raw_id").cast("decimal(19,0)")
+    last = keys.groupBy("url").agg(F.min("raw_id").alias("article_id"), F.max(place.cast("decimal(38,0)")).alias("_last"))
+    return last.select("url", "article_id", F.pmod("_last", F.lit(str(_RAW_IDS)).cast("decimal(38,0)")).cast("bigint").alias("raw_id"))
+
+
+def stage_articles(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Latest delivery per URL; the id is the smallest raw id the URL ever had, so it never changes.
+
+    The winning deliveries are found on narrow rows; what is then joined by raw id is read for the wanted ``columns`` only.
+    """
+    columns = columns or _STAGED
+    rows = extract_articles(raw, [_FIELD_OF[c] for c in columns if c in _FIELD_OF]).drop("url")
+    made = {"author_hash": lambda: pii.pii_hash(F.col("author_raw")), "scraped_at": lambda: F.coalesce("scraped_raw", "ingested_at"),
+            "ingest_time": lambda: F.col("ingested_at"), "source_system": lambda: F.lit("raw_articles")}
+    return rows.join(winners(raw), "raw_id").select(*[made.get(c, lambda: F.col(c))().alias(c) for c in columns])
 
 
 def stage_scores(raw: DataFrame) -> DataFrame:
@@ -79,12 +99,11 @@ def stage_sources(raw: DataFrame) -> DataFrame:
 
 
 def articles_with_sentiment(articles: DataFrame, scores: DataFrame) -> DataFrame:
-    """Staged articles with their score by URL. Both sides leave staging partitioned by that key already."""
+    """Staged articles with their score by URL; of the articles those columns that were staged."""
     s = scores.select(F.col("article_id_raw").alias("url"), F.col("score").alias("sentiment_score"),
                       F.col("calculated_at").alias("sentiment_score_calculated_at"))
     return articles.join(s, "url", "left").select(
-        "article_id", "url", "source_name", "title", "author_hash", "content", "push_count", "published_at",
-        "scraped_at", "ingest_time", "sentiment_score", "sentiment_score_calculated_at")
+        *[c for c in _STAGED if c in articles.columns and c != "source_system"], "sentiment_score", "sentiment_score_calculated_at")
 
 
 def market_articles(with_sentiment: DataFrame, sources: DataFrame) -> DataFrame:
