@@ -1,8 +1,8 @@
 """Reply trees as training conversations, in DataFrame functions only.
 
-Messages form trees. Narrow key rows (tree, message, parent, score) are joined with themselves level by level: the frontier holds the
-paths from the roots to one depth, a join with the children of its last messages makes the next depth, and paths without a child are
-branches. Branches are ranked by the sum of their scores, the best of each tree become conversations. Texts join at the very end, once.
+Messages form trees. Narrow key rows (tree, message, parent, score) are joined with themselves again and again, each time over twice the distance,
+until every message knows its root, depth and the scores above it. Messages without a reply end the branches. These are ranked by the sum of
+their scores, and the messages of the best of each tree become a conversation. Texts join at the very end, once.
 
 Template: ``<|role|>``, a line break, the text, ``</s>``, a line break; for each turn. In roles and texts a backslash follows every
 ``<``, ``[``, ``|`` and backslash, so that no control string can stand there, and one pass of a pattern takes them out again. The loss mask
@@ -43,39 +43,47 @@ def chains(rows: DataFrame, tree: str = "conv_id", turn: str = "turn", role: str
 
 
 def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
-    """``tree, branch, score, path``: the ``keep`` best root-to-leaf paths of each tree, ties to the smaller last message.
+    """``tree, branch, score, place, message``: the messages of the ``keep`` best root-to-leaf paths of each tree, ties to the smaller last message.
 
-    ``messages`` must be a written table. Every level is written to the shared folder, so a lost executor costs one level.
+    ``messages`` must be a written table. Pointers are joined with themselves: after round k each message points 2^k messages up and holds the
+    score in between, so the rounds grow with the logarithm of the longest path. The chosen leaves then walk the same
+    pointers, the longest first, which meets every message of a path once. Every round is written to the shared folder, so a lost executor costs one round.
     """
     spark = messages.sparkSession
     folder = shared_dir(spark, "paths")
-    keys = messages.filter("message IS NOT NULL").groupBy("tree", "message").agg(
-        F.min(F.struct("parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("m")).select("tree", "message", "m.parent", "m.score")
-    keys.write.parquet(f"{folder}/keys")
-    keys = spark.read.parquet(f"{folder}/keys")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     same = lambda a, b: F.col(f"{a}.tree").eqNullSafe(F.col(f"{b}.tree"))
-    parents = keys.select("tree", "message")
-    rooted = keys.alias("k").join(parents.alias("p"), same("k", "p") & (F.col("k.parent") == F.col("p.message")), "left")
-    level = rooted.filter(F.col("p.message").isNull()).select("k.tree", "k.message", "k.score", F.array("k.message").alias("path"))
-    inner = keys.select("tree", F.col("parent").alias("message")).distinct()
-    depth = 0
-    while True:
-        level.write.parquet(f"{folder}/{depth}")
-        level = spark.read.parquet(f"{folder}/{depth}")
-        if level.isEmpty():
-            break
-        depth += 1
-        level = level.alias("l").join(keys.alias("k"), same("l", "k") & (F.col("l.message") == F.col("k.parent"))).select(
-            "l.tree", "k.message", (F.col("l.score") + F.col("k.score")).alias("score"), F.concat("l.path", F.array("k.message")).alias("path"))
-    paths = spark.read.parquet(*[f"{folder}/{i}" for i in range(depth + 1)])
-    leaves = paths.alias("l").join(inner.alias("i"), same("l", "i") & (F.col("l.message") == F.col("i.message")), "left_anti")
-    order = Window.partitionBy("tree").orderBy(F.desc("score"), "message", "path")
-    return leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= keep).select("tree", "branch", "score", "path")
+    keys = written(messages.filter("message IS NOT NULL").groupBy("tree", "message").agg(
+        F.min(F.struct("parent", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("m")).select("tree", "message", "m.parent", "m.score"), "keys")
+    known = keys.alias("k").join(keys.select("tree", "message").alias("p"), same("k", "p") & (F.col("k.parent") == F.col("p.message")), "left")
+    first = known.select("k.tree", "k.message", F.col("p.message").alias("up"), F.when(F.col("p.message").isNotNull(), 1).otherwise(0).cast("bigint").alias("place"), "k.score")
+    pointers = [written(first, "up-0")]
+    while len(pointers) <= keys.count().bit_length() and not pointers[-1].filter("up IS NOT NULL").isEmpty():  # what still points up then is in a loop
+        now = pointers[-1]
+        further = now.alias("j").join(now.alias("o"), same("j", "o") & (F.col("j.up") == F.col("o.message")), "left").select(
+            "j.tree", "j.message", "o.up", (F.col("j.place") + F.coalesce("o.place", F.lit(0))).alias("place"), (F.col("j.score") + F.coalesce("o.score", F.lit(0.0))).alias("score"))
+        pointers.append(written(further, f"up-{len(pointers)}"))
+    rooted = pointers[-1].filter("up IS NULL").select("tree", "message", "place", "score")
+    inner = pointers[0].filter("up IS NOT NULL").select("tree", F.col("up").alias("message")).distinct()
+    leaves = rooted.alias("l").join(inner.alias("i"), same("l", "i") & (F.col("l.message") == F.col("i.message")), "left_anti")
+    order = Window.partitionBy("tree").orderBy(F.desc("score"), "message")
+    steps = leaves.withColumn("branch", F.row_number().over(order)).filter(F.col("branch") <= keep).select("tree", "branch", "score", "place", "message")
+    for k in range(len(pointers) - 2, -1, -1):
+        steps = written(steps, f"steps-{k}")
+        up = pointers[k].filter("up IS NOT NULL").select("tree", "message", "up")
+        above = steps.alias("s").join(up.alias("u"), same("s", "u") & (F.col("s.message") == F.col("u.message"))).select(
+            "s.tree", "s.branch", "s.score", (F.col("s.place") - 2 ** k).alias("place"), F.col("u.up").alias("message"))
+        steps = steps.unionByName(above)
+    return steps
 
 
 def conversations(messages: DataFrame, keep: int = 1, trained: str = "assistant") -> DataFrame:
     """``tree, branch, formatted, loss_spans``: the best branches of each tree as formatted texts with their loss masks."""
-    steps = branches(messages, keep).select("tree", "branch", F.posexplode("path").alias("place", "message"))
+    steps = branches(messages, keep)
     texts = messages.groupBy("tree", "message").agg(F.min(F.struct(
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("m")).select("tree", "message", "m.role", "m.text")
     rows = steps.alias("s").join(texts.alias("t"), F.col("s.tree").eqNullSafe(F.col("t.tree")) & (F.col("s.message") == F.col("t.message")))
