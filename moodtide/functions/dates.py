@@ -22,7 +22,7 @@ def epoch_to_ts(seconds: Column) -> Column:
     """Epoch seconds; values above 1e12 are milliseconds."""
     s = seconds.cast("double")
     micros = F.when(s > 1e12, s * F.lit(1e3)).otherwise(s * F.lit(1e6))
-    return F.timestamp_micros(F.rint(micros).cast("bigint"))
+    return F.timestamp_micros(F.rint(micros).try_cast("bigint"))
 
 
 def ts_from_post_url(url: Column) -> Column:
@@ -58,7 +58,7 @@ def parse_date_by_source(text: Column, source: Column) -> Column:
     """Raw date text, read the way the named source writes it; other text falls through to ISO."""
     day_clock = rf"^{_DAY}[T ]{_CLOCK}"
     local = F.to_utc_timestamp(F.try_to_timestamp(_clock_text(text), F.lit("yyyy-MM-dd HH:mm:ss")), LOCAL_ZONE)
-    epoch = F.timestamp_micros(F.rint(text.try_cast("double") * F.lit(1e6)).cast("bigint"))
+    epoch = F.timestamp_micros(F.rint(text.try_cast("double") * F.lit(1e6)).try_cast("bigint"))
     mail = F.regexp_replace(F.regexp_extract(text, f"^{_MAIL_DATE}", 1), r"\s+", " ")
     iso = (F.when(text.rlike(day_clock), F.try_to_timestamp(_clock_text(text), F.lit("yyyy-MM-dd HH:mm:ss")))
            .when(text.rlike(f"^{_DAY}"), F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))))

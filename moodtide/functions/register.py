@@ -39,23 +39,26 @@ def register_functions(spark: SparkSession) -> list[str]:
     markets = " ".join(f"WHEN '{n}' THEN '{s['market']}'" for n, s in ALL_SOURCES.items())
     day, clock = r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[0-9]{2}:[0-9]{2}:[0-9]{2}"
     mail = rf"^[A-Za-z]{{3}},\\s+([0-9]{{1,2}}\\s+[A-Za-z]{{3}}\\s+[0-9]{{4}}\\s+{clock})"
+    blank = text._BLANK
+    strip = lambda x: f"regexp_replace({x}, r'^{blank}+|{blank}+$', '')"
+    number = lambda x: f"CASE WHEN {strip(x)} RLIKE '^[+-]?[0-9]+$' THEN try_cast({strip(x)} AS BIGINT) END"
+    badge = strip("badge")
     definitions = {
         "pii_hash(author STRING) RETURNS STRING":
             f"substring(sha2(CAST(concat('{pii_salt()}:', author) AS BINARY), 256), 1, {HASH_CHARS})",
         "market_for_source(name STRING) RETURNS STRING": f"CASE name {markets} END",
-        "push_decode(badge STRING) RETURNS BIGINT": rf"""
-            CASE WHEN trim(badge) = '{text.PUSH_BURST}' THEN {text.PUSH_LIMIT}
-                 WHEN trim(badge) = '{text.PUSH_BURIED}' THEN -{text.PUSH_LIMIT}
-                 WHEN trim(badge) RLIKE '^X\\s*[+-]?[0-9]+$'
-                   THEN -10 * try_cast(trim(substring(trim(badge), 2)) AS BIGINT)
-                 WHEN trim(badge) RLIKE '^[+-]?[0-9]+$' THEN try_cast(trim(badge) AS BIGINT) END""",
+        "push_decode(badge STRING) RETURNS BIGINT": f"""
+            CASE WHEN {badge} = '{text.PUSH_BURST}' THEN {text.PUSH_LIMIT}
+                 WHEN {badge} = '{text.PUSH_BURIED}' THEN -{text.PUSH_LIMIT}
+                 WHEN startswith({badge}, 'X') THEN -10 * ({number(f"substring({badge}, 2)")})
+                 ELSE {number(badge)} END""",
         "parse_date_by_source(t STRING, source STRING) RETURNS TIMESTAMP": rf"""
             CASE WHEN t IS NULL OR trim(t) = '' THEN NULL
                  WHEN source = '{dates.LOCAL_TIME_SOURCE}' AND t RLIKE '^{day}[T ]{clock}'
                    THEN to_utc_timestamp(try_to_timestamp(translate(substring(t, 1, 19), 'T', ' '),
                                                           'yyyy-MM-dd HH:mm:ss'), '{dates.LOCAL_ZONE}')
                  WHEN source = '{dates.EPOCH_SOURCE}' AND t RLIKE '^[0-9]+(\\.[0-9]+)?$'
-                   THEN timestamp_micros(CAST(rint(try_cast(t AS DOUBLE) * 1e6) AS BIGINT))
+                   THEN timestamp_micros(try_cast(rint(try_cast(t AS DOUBLE) * 1e6) AS BIGINT))
                  WHEN source IN ({_quoted(dates.MAIL_DATE_SOURCES)}) AND t RLIKE '{mail}'
                    THEN try_to_timestamp(regexp_replace(regexp_extract(t, '{mail}', 1), '\\s+', ' '),
                                          'd MMM yyyy HH:mm:ss')

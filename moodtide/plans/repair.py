@@ -42,7 +42,7 @@ def _forum_post_fixes(bad: DataFrame) -> DataFrame:
     posts = feeds.forum_posts(bad.where("source_name = 'reddit' AND raw_json IS NOT NULL"), body="raw_json",
                               keep=("article_id", "url")).where(F.col("id") == wanted)
     body = text.blank_removed(text.strip(F.col("selftext")))
-    at = F.timestamp_micros(F.rint(F.nullif(F.col("created_utc").try_cast("double"), F.lit(0.0)) * 1e6).cast("bigint"))
+    at = F.timestamp_micros(F.rint(F.nullif(F.col("created_utc").try_cast("double"), F.lit(0.0)) * 1e6).try_cast("bigint"))
     return posts.select("article_id", F.nullif(text.strip("title"), F.lit("")).alias("title"),
                         F.nullif(body, F.lit("")).alias("content"), at.cast("timestamp_ntz").alias("published_at"))
 

@@ -129,7 +129,10 @@ def test_sql_functions_agree_with_columns(spark):
     given = ["HTTP://WWW.X.com:443/a/?utm_source=f&b=1&c=#t", "not a url", "http://x.com", "http://x.com:8080/a//", "https://x.com/a?q=a+b&r=%C3%A9&s",
              "https://x.com/a/;v=1?b=50%&t=~*", "https://x.com/a;", None]
     assert apply(spark, given, lambda c: F.call_function("canonical_url", c)) == apply(spark, given, urls.canonical_url)
-    df = spark.createDataFrame([("爆", "2024-02-05 08:00:00", "ptt"), ("X 3", "1700000000.5", "reddit"), ("x", "2024-02-05", "cnn")],
+    df = spark.createDataFrame([("爆", "2024-02-05 08:00:00", "ptt"), ("X 3", "1700000000.5", "reddit"), ("x", "2024-02-05", "cnn"),
+                                ("\t12\n", "Mon, 5 Feb 2024 08:00:00 GMT", "wsj"), ("\u3000X3\u3000", "2024-02-05T08:00:00+08:00", "cnyes"), ("XX", "\t", "ptt"),
+                                ("X", " 2024-02-05", "reddit"), ("XXX", "1e9", "reddit"), (" +5 ", "2024-13-05", "cnn"), ("\u00a0爆", "99999999999999999999", "reddit"),
+                                ("99999999999999999999", "", "cnn"), ("", None, None), (None, "x", "x")],
                                "badge string, t string, source string")
     both = df.select(
         F.expr("push_decode(badge)"), text.push_decode(F.col("badge")), F.expr("parse_date_by_source(t, source)"),
