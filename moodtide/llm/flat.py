@@ -15,10 +15,10 @@ import pyarrow as pa
 #: Bytes of text that are worked on at a time; a longer single text is worked on alone and whole.
 SLICE_BYTES = 8 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = True
 _LETTER[97:123] = True
@@ -59,7 +59,7 @@ def numbered(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Arra
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+``: their codes in text order, the distinct words, and each row's first word (one more at the end)."""
-    solid = ~_SPACE[data]
+    solid = ~SPACE[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     begins = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -67,7 +67,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     starts = np.flatnonzero(first)
     kept = data[solid]
     if lower:
-        kept = _LOWER[kept]
+        kept = LOWER[kept]
     place = np.cumsum(solid)[starts] - 1 if len(starts) else starts
     codes, distinct = numbered(kept, np.append(place, len(kept)))
     return codes, distinct, np.searchsorted(starts, offsets)
@@ -83,7 +83,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array,
     n = len(data)
     cut = np.zeros(n, bool)
     if n:
-        space, before = _SPACE[data], data[:-1]
+        space, before = SPACE[data], data[:-1]
         cut[1:] = space[1:] & ~space[:-1] & ~((before >= 0x1C) & (before <= 0x1F))
         cut[1:] |= _STOP[data[1:]] & _LETTER[before]
         if n > 3:

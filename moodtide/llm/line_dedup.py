@@ -5,7 +5,8 @@ A line is its sequence of words, with A-Z lowered; lines with no word are always
 similarity of 0.8. "Earlier" does not ask whether that line stays itself, so the result does not depend on an order of work.
 
 1. Each line gets a hash that is a polynomial of its words' hashes, so that the hash of the line without word i comes from prefix sums.
-2. Lines that can have a partner share the hash of a half with another line: one edit leaves the first or the last half whole. A bitmap of fixed size marks them.
+2. Lines that can have a partner share the hash of a half with another line: one edit leaves the first or the last half whole. A bitmap of fixed size
+   marks the halves that different lines share.
 3. Marked lines emit every variant with one word deleted as a hashed key: lines with equal variants at one place differ in that word, a line
    that equals a variant lacks that word. Keys reduce to the earliest line on each side, which is all the others need; no pairs inside a group.
 4. Each line and its earlier partner are compared word by word.
@@ -20,13 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodtide.llm.flat import slices, text_buffer, words
+from moodtide.llm.flat import LOWER, SPACE, slices, text_buffer
 from moodtide.session import shared_dir
 
 LEAST_WORDS = 5
@@ -34,7 +34,10 @@ LEAST_WORDS = 5
 BITMAP_BITS, PIECE_BITS = 1 << 27, 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_LINE = "id bigint, mark bigint, line int, h bigint, g bigint, n int"
+_BYTE_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x27D4EB2F165667C5))
+_LINE = "id bigint, mark bigint, line int, h bigint, g int, n int"
+#: Bytes of text whose lines are hashed at a time.
+HASH_BYTES = 4 << 20
 
 
 def _powers(base: np.uint64, many: int) -> np.ndarray:
@@ -47,29 +50,50 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0x9FB21C651E98DF25)
+    x ^= x >> np.uint64(35)
+    x *= np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(28))
+
+
 class _Lines:
-    """Lines of a slice of texts with their words' hashes; everything is arrays over lines or words."""
+    """Lines of a slice of texts with their words' hashes; everything is arrays over bytes, words or lines."""
 
     def __init__(self, texts: pa.Array):
         data, offsets = text_buffer(texts)
         breaks = np.flatnonzero(data == 0x0A) + 1
-        bounds = np.unique(np.concatenate([offsets, breaks[breaks < len(data)] if len(data) else breaks])) if len(data) else np.zeros(1, np.int64)
+        bounds = np.unique(np.concatenate([offsets, breaks[breaks < len(data)]])) if len(data) else np.zeros(1, np.int64)
         self.data, self.bounds = data, bounds
         self.row = np.searchsorted(offsets, bounds[:-1], "right") - 1
         first = np.searchsorted(bounds[:-1], offsets[:-1])
         self.line = np.arange(len(self.row)) - first[self.row] if len(self.row) else self.row
-        codes, distinct, self.firsts = words(data, bounds)
-        spelled = distinct.to_pylist()
+        solid = ~SPACE[data]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]  # a line break is white space, and so is the end of a row for the row after
+        begins[bounds[:-1]] = solid[bounds[:-1]]
+        starts = np.flatnonzero(begins)
+        self.firsts = np.searchsorted(starts, bounds)
         self.n = np.diff(self.firsts)
-        self.word = np.array([xxhash.xxh64_intdigest(w, 1) for w in spelled], np.uint64)[codes] if spelled else np.zeros(0, np.uint64)
-        check = np.array([xxhash.xxh64_intdigest(w, 2) for w in spelled], np.uint64)[codes] if spelled else self.word
-        place = np.arange(len(codes)) - np.repeat(self.firsts[:-1], self.n)
+        self.word, check = self._words(LOWER[data[solid]], np.cumsum(solid)[starts] - 1 if len(starts) else starts)
+        place = np.arange(len(starts)) - np.repeat(self.firsts[:-1], self.n)
         self.ups = _powers(_BASE, int(self.n.max(initial=0)) + 1)
         self.downs = _powers(_INVERSE, int(self.n.max(initial=0)) + 1)
         self.sums = np.concatenate([[np.uint64(0)], np.cumsum(self.word * self.ups[place], dtype=np.uint64)])
         self.h = self.part(0, self.n)
         checks = np.concatenate([[np.uint64(0)], np.cumsum(check * self.ups[place], dtype=np.uint64)])
-        self.g = checks[self.firsts[1:]] - checks[self.firsts[:-1]]
+        self.g = ((checks[self.firsts[1:]] - checks[self.firsts[:-1]]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+    @staticmethod
+    def _words(letters: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each word: polynomials of its bytes, scrambled."""
+        if not len(starts):
+            return [np.zeros(0, np.uint64)] * 2
+        sizes = np.diff(np.append(starts, len(letters)))
+        place = np.arange(len(letters), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+        wide = letters.astype(np.uint64) + np.uint64(1)
+        return [_scrambled(np.add.reduceat(wide * _powers(base, int(sizes.max()))[place], starts)) for base in _BYTE_BASES]
 
     def part(self, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
         """Hash of the words from a to b of each line, as if they stood at its start."""
@@ -80,11 +104,11 @@ class _Lines:
         """Keys of the first and last half of each line, for partners of the same length and of one word less: lines x 4."""
         keys = []
         for less in (0, 1):
-            length = self.n - less
-            head = np.maximum(length // 2, 0)
+            length = np.maximum(self.n - less, 0)
+            head = length // 2
             tail = length - head
             tag = length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            keys += [self.part(np.zeros_like(head), head) ^ tag, ~(self.part(np.maximum(self.n - tail, 0), self.n) ^ tag)]
+            keys += [self.part(np.zeros_like(head), head) ^ tag, ~(self.part(self.n - tail, self.n) ^ tag)]
         return np.stack(keys, axis=1)
 
 
@@ -94,14 +118,14 @@ def _bits(h: np.ndarray) -> list[np.ndarray]:
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, _Lines]]:
-    for part in slices(batch, "text"):
+    for part in slices(batch, "text", HASH_BYTES):
         yield part, _Lines(part.column("text"))
 
 
 def _columns(part: pa.RecordBatch, lines: _Lines, at: np.ndarray) -> list[pa.Array]:
     row = pa.array(lines.row[at])
     return [part.column("id").take(row), part.column("mark").take(row), pa.array(lines.line[at].astype(np.int32)),
-            pa.array(_signed(lines.h[at])), pa.array(_signed(lines.g[at])), pa.array(lines.n[at].astype(np.int32))]
+            pa.array(_signed(lines.h[at])), pa.array(lines.g[at]), pa.array(lines.n[at].astype(np.int32))]
 
 
 def _numbered_lines(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -110,15 +134,17 @@ def _numbered_lines(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[p
         for part, lines in _rows(batch):
             at = np.flatnonzero(lines.n > 0)
             keys = _signed(lines.halves()[at].ravel()).reshape(-1, 4)
-            long = lines.n[at] >= least
+            long = np.zeros(len(at), bool)
+            long[np.unique(lines.h[at], return_index=True)[1]] = True  # once for equal lines of the slice
+            long &= lines.n[at] >= least
             offsets = np.concatenate([[0], np.cumsum(np.where(long, 4, 0))]).astype(np.int32)
             halves = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[long].ravel()))
             yield pa.RecordBatch.from_arrays([*_columns(part, lines, at), halves], [*names, "halves"])
 
 
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap over column ``h``, built in pieces on the executors; ``BITMAP_BITS`` / 8 bytes come to the driver, whatever the rows."""
-    bits = F.array(F.expr(f"pmod(h, {BITMAP_BITS}L)"), F.expr(f"pmod(shiftrightunsigned(h, 32), {BITMAP_BITS}L)"))
+def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bitmap over a column of hashes, built in pieces on the executors; ``BITMAP_BITS`` / 8 bytes come to the driver, whatever the rows."""
+    bits = F.array(F.expr(f"pmod({column}, {BITMAP_BITS}L)"), F.expr(f"pmod(shiftrightunsigned({column}, 32), {BITMAP_BITS}L)"))
     places = hashes.select(F.explode(bits).alias("bit")).select((F.col("bit") / PIECE_BITS).cast("int").alias("piece"), (F.col("bit") % PIECE_BITS).cast("int").alias("at")).distinct()
 
     def piece(table: pa.Table) -> pa.Table:
@@ -172,26 +198,31 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(_signed(keys)), pa.array(side), pa.array(np.concatenate([rank[own], rank[own], rank]))], ["key", "side", "rank"])
 
 
-def near_repeats(docs: DataFrame, lines: DataFrame, first: DataFrame, least: int) -> DataFrame:
+def near_repeats(docs: DataFrame, lines: DataFrame, least: int) -> DataFrame:
     """``h, g, n`` of the different lines that lie within one word of an earlier line."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "near-lines")
-    halves = lines.filter(F.size("halves") > 0).select(F.explode("halves").alias("half"), "h").distinct()
+    halves = lines.filter(F.size("halves") > 0).select(F.explode("halves").alias("half"), "h")
     shared_halves = halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("half")
-    marks = spark.sparkContext.broadcast(bitmap(halves.join(shared_halves, "half", "left_semi").select("h").distinct()))
+    marks = spark.sparkContext.broadcast(bitmap(shared_halves, "half"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, own in _rows(batch):
                 at = np.flatnonzero(own.n >= least)
-                at = at[_marked(_signed(own.h[at]), marks.value)]
-                if len(at):
-                    at = at[np.unique(own.h[at], return_index=True)[1]]
+                at = at[_marked(_signed(own.halves()[at].ravel()), marks.value).reshape(-1, 4).any(axis=1)]
+                columns = _columns(part, own, at)
+                order = np.lexsort([columns[2].to_numpy(), columns[1].to_numpy(), columns[0].fill_null(-1 << 63).to_numpy(), own.g[at], own.h[at]])
+                h, g = own.h[at[order]], own.g[at[order]]
+                new = np.ones(len(order), bool)  # the earliest of equal lines of the slice
+                new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+                at = at[order[new]]
                 texts = [b" ".join(own.data[own.bounds[i]:own.bounds[i + 1]].tobytes().lower().split()) for i in at]
-                yield pa.RecordBatch.from_arrays([*_columns(part, own, at)[3:], pa.array(texts, pa.binary())], ["h", "g", "n", "text"])
+                yield pa.RecordBatch.from_arrays([*_columns(part, own, at), pa.array(texts, pa.binary())], [*(c.split()[0] for c in _LINE.split(", ")), "text"])
 
-    found = docs.mapInArrow(candidates, "h bigint, g bigint, n int, text binary").groupBy("h", "g", "n").agg(F.first("text").alias("text"))
-    placed = found.join(first, ["h", "g", "n"]).repartitionByRange("first").sortWithinPartitions("first").select("h", "g", "n", "text")
+    found = docs.mapInArrow(candidates, f"{_LINE}, text binary").groupBy("h", "g", "n").agg(
+        F.min(F.struct("id", "mark", "line")).alias("first"), F.first("text").alias("text"))
+    placed = found.repartitionByRange("first").sortWithinPartitions("first").select("h", "g", "n", "text")
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 40
@@ -199,7 +230,7 @@ def near_repeats(docs: DataFrame, lines: DataFrame, first: DataFrame, least: int
             yield batch.append_column("rank", pa.array(np.arange(at, at + batch.num_rows)))
             at += batch.num_rows
 
-    placed.mapInArrow(ranked, "h bigint, g bigint, n int, text binary, rank bigint").write.parquet(f"{folder}/lines")
+    placed.mapInArrow(ranked, "h bigint, g int, n int, text binary, rank bigint").write.parquet(f"{folder}/lines")
     placed = spark.read.parquet(f"{folder}/lines")
     rows = placed.select("text", "rank").mapInArrow(_variants, "key bigint, side tinyint, rank bigint")
     least_of = lambda side: F.min(F.when(F.col("side") == side, F.col("rank"))).alias(f"least_{side}")
@@ -213,7 +244,7 @@ def near_repeats(docs: DataFrame, lines: DataFrame, first: DataFrame, least: int
             right = [within_one(a.split(), b.split()) for a, b in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist())]
             yield batch.filter(pa.array(right, pa.bool_())).select(["h", "g", "n"])
 
-    return said.select("h", "g", "n", "text", "other").mapInArrow(verified, "h bigint, g bigint, n int").distinct()
+    return said.select("h", "g", "n", "text", "other").mapInArrow(verified, "h bigint, g int, n int").distinct()
 
 
 def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,27 +255,32 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "d
     own = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     own.mapInArrow(lambda b: _numbered_lines(b, least_words), f"{_LINE}, halves array<bigint>").write.parquet(f"{folder}/lines")
     lines = spark.read.parquet(f"{folder}/lines")
-    first = lines.groupBy("h", "g", "n").agg(F.min(F.struct("id", "mark", "line")).alias("first"))
-    first.write.parquet(f"{folder}/first")
-    first = spark.read.parquet(f"{folder}/first")
-    near = near_repeats(own, lines, first, least_words).withColumn("near", F.lit(True))
-    judged = lines.drop("halves").join(first.join(near, ["h", "g", "n"], "left"), ["h", "g", "n"])
+    again = lines.groupBy("h", "g", "n").agg(F.min(F.struct("id", "mark", "line")).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+    near = near_repeats(own, lines, least_words).withColumn("near", F.lit(True))
+    bad = again.join(near, ["h", "g", "n"], "full")
     here = F.struct("id", "mark", "line")
-    gone = (F.col("first") < here) | F.col("near").isNotNull()
-    removed = judged.groupBy("id", "mark").agg(F.collect_set(F.when(gone, F.col("line"))).alias("_gone_"), F.count_distinct("line").alias("_lines_"))
+    gone = lines.drop("halves").join(bad, ["h", "g", "n"]).filter(F.col("near").isNotNull() | (F.col("first") < here))
+    removed = gone.groupBy("id", "mark").agg(F.collect_set("line").alias("_gone_"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_")
     keyed = docs.select(row, F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
     both = keyed.alias("d").join(removed.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.mark") == F.col("r.mark")), "left")
-    both = both.select("_row_.*", F.when(F.size("_gone_") > 0, F.col("_gone_")).alias("_gone_"), F.coalesce("_lines_", F.lit(0)).cast("bigint").alias("n_lines"),
-                       F.greatest(F.size("_gone_"), F.lit(0)).cast("bigint").alias("n_removed"))
+    both = both.select("_row_.*", "_gone_")
     column = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone_of = batch.column(column).to_pylist(), batch.column("_gone_").to_pylist()
-            kept = [t if not g else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in g) for t, g in zip(texts, map(lambda g: set(g) if g else None, gone_of))]
+            kept, n_lines, n_removed = [], [], []
+            for t, out in zip(batch.column(column).to_pylist(), batch.column("_gone_").to_pylist()):
+                own_lines = (t or "").split("\n")
+                n_lines.append(sum(1 for x in own_lines if x.strip(" \t\n\x0b\x0c\r")))
+                n_removed.append(len(out or ()))
+                if out:
+                    out = set(out)
+                    t = "\n".join(x for i, x in enumerate(own_lines) if i not in out)
+                kept.append(t)
             arrays = [pa.array(kept, pa.string()) if i == column else c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "_gone_"]
-            yield pa.RecordBatch.from_arrays(arrays, [c for c in batch.schema.names if c != "_gone_"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())],
+                                             [*(c for c in batch.schema.names if c != "_gone_"), "n_lines", "n_removed"])
 
-    schema = T.StructType([f for f in both.schema.fields if f.name != "_gone_"])
+    schema = T.StructType([f for f in both.schema.fields if f.name != "_gone_"]).add("n_lines", T.LongType()).add("n_removed", T.LongType())
     return both.mapInArrow(cut, schema)

@@ -8,8 +8,8 @@ A context is kept when it came ``least_count`` times and the divergence of its d
 
 How it runs. Texts are tokenized once into blocks of about ``BLOCK_TOKENS`` symbols, a bucketed table of codes and 64-bit hashes of words. A block asks for the corpus
 counts of its different n-grams: it sends sorted hashes with its own training counts, dealt by hash to buckets, and a bucket answers with the totals in
-the order of the question. A common context is spread over all buckets, for n-grams are dealt whole, and every block has already summed its own. With counts, a block adds its
-share to the divergence of its contexts, which buckets sum in the same way. Nothing is sent by token, and blocks stay where they are.
+the order of the question. A common context is spread over all buckets, for n-grams are dealt whole, and every block has already summed its own. With counts, a block adds
+the n-grams it answers for to the divergence of their contexts, which buckets sum in the same way. Nothing is sent by token, and blocks stay where they are.
 
 Contexts and n-grams are told apart by 64-bit hashes. Defined cases: null texts are empty (only the end); null ids are learned from; repeated rows are scored one by
 one and learned from as often; with nothing to learn from all scores are 0; an empty table gives no rows; other columns are ignored.
@@ -34,7 +34,7 @@ from moodtide.session import shared_dir
 BLOCK_TOKENS = 1_000_000
 #: Symbols of the corpus to a bucket, so that its questions fit in a task.
 BUCKET_TOKENS = 2_000_000
-LEAST_COUNT, LEAST_GAIN = 4, 2.0
+LEAST_COUNT, LEAST_GAIN = 8, 2.0
 
 _END = np.uint64(0x5851F42D4C957F2D)
 _BLOCKS = "block bigint, n bigint, ids array<bigint>, held binary, ends binary, codes binary, hashes binary"
@@ -166,8 +166,9 @@ class _Block:
     def hear_first(self, told: dict, total: int, different: int) -> None:
         """Corpus counts of words and pairs; the root's logarithms."""
         self._pairs()
-        self.count = self._answer(told, WORD, self.hashes, np.uint64).astype(np.float64)
-        self.pair_count = self._answer(told, PAIR, self.pair_keys, np.uint64).astype(np.float64)
+        self.count = (self._answer(told, WORD, self.hashes, np.uint64) >> np.uint64(1)).astype(np.float64)
+        self.pair_told = self._answer(told, PAIR, self.pair_keys, np.uint64)
+        self.pair_count = (self.pair_told >> np.uint64(1)).astype(np.float64)
         self.total, self.different = total, different
         self.root = (self.count + 1) / (total + different + 1)
         self.base = np.log10(self.root[self.codes])
@@ -180,22 +181,23 @@ class _Block:
         self.with_triple = np.flatnonzero((self.place >= 2) & (before >= self.least))
         self.triple_keys, self.triple_codes, self.triple_own = self._grams(self.triple, self.with_triple)
 
-    def _share(self, asked: np.ndarray, where: np.ndarray, codes: np.ndarray, own: np.ndarray, count: np.ndarray, context: np.ndarray, size: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
-        """For each asked context: its count, and the block's share of three sums over the symbols that followed it at least twice.
+    def _share(self, asked: np.ndarray, where: np.ndarray, codes: np.ndarray, told: np.ndarray, context: np.ndarray, size: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
+        """For each asked context: its count, and three sums over the symbols that followed it at least twice and whose n-gram this block answers for.
 
-        The sums: discounted counts, their gain over the parent, the parent's share. An n-gram's figures are shared out over its learned
-        occurrences in the corpus, so that all blocks together give each n-gram once.
+        The sums: discounted counts, their gain over the parent, the parent's share. Buckets name one block for each n-gram. All are 0, and take no
+        room, where there is nothing to add.
         """
+        count = (told >> np.uint64(1)).astype(np.float64)
         first = np.zeros(len(count), np.int64)
         first[codes[::-1]] = where[::-1]
-        some = (own > 0) & (count >= 2) & (size[first] >= self.least)
-        at, c, part = first[some], count[some], own[some].astype(np.float64) / count[some]
-        kept = part * (c - 1)
-        gain = kept * np.log((c - 1) / size[at] / parent[at])
+        some = (told & np.uint64(1)).astype(bool) & (count >= 2) & (size[first] >= self.least)
+        at, kept = first[some], count[some] - 1
+        gain = kept * np.log(kept / size[at] / parent[at])
         place = np.searchsorted(asked, context[at])
-        sizes = np.zeros(len(asked))
-        sizes[np.searchsorted(asked, context[where][size[where] >= self.least])] = size[where][size[where] >= self.least]
-        return [sizes, *(np.bincount(place, x, len(asked)) for x in (kept, gain, part * parent[at]))]
+        sizes = np.zeros(len(asked), np.uint64)
+        sizes[place] = size[at].astype(np.uint64)
+        total = lambda x: np.bincount(place, x, len(asked))
+        return [sizes, total(kept).astype(np.uint64), total(gain).astype(np.float32), total(parent[at]).astype(np.float32)]
 
     def _asked(self, where: np.ndarray, context: np.ndarray, size: np.ndarray) -> np.ndarray:
         return np.unique(context[where][size[where] >= self.least])
@@ -208,7 +210,7 @@ class _Block:
     def second_questions(self) -> list[tuple]:
         word, size = self._context_words()
         asked = self._asked(self.with_pair, word, size)
-        share = self._share(asked, self.with_pair, self.pair_codes, self.pair_own, self.pair_count, word, size, self.root[self.codes])
+        share = self._share(asked, self.with_pair, self.pair_codes, self.pair_told, word, size, self.root[self.codes])
         return self._ask(TRIPLE, self.triple_keys, self.triple_own) + self._ask(SHORT, asked, *share)
 
     def _kept(self, told: dict, kind: int, where: np.ndarray, context: np.ndarray, size: np.ndarray, share_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +224,8 @@ class _Block:
 
     def hear_second(self, told: dict) -> None:
         word, size = self._context_words()
-        self.triple_count = self._answer(told, TRIPLE, self.triple_keys, np.uint64).astype(np.float64)
+        self.triple_told = self._answer(told, TRIPLE, self.triple_keys, np.uint64)
+        self.triple_count = (self.triple_told >> np.uint64(1)).astype(np.float64)
         asked = self._asked(self.with_pair, word, size)
         kept, rest = self._kept(told, SHORT, self.with_pair, word, size, asked)
         root = self.root[self.codes]
@@ -235,7 +238,7 @@ class _Block:
     def third_questions(self) -> list[tuple]:
         context, size = self._context_pairs(), self.context_pair
         asked = self._asked(self.with_triple, context, size)
-        return self._ask(LONG, asked, *self._share(asked, self.with_triple, self.triple_codes, self.triple_own, self.triple_count, context, size, self.short))
+        return self._ask(LONG, asked, *self._share(asked, self.with_triple, self.triple_codes, self.triple_told, context, size, self.short))
 
     def scores(self, told: dict) -> pa.RecordBatch:
         context = self._context_pairs()
@@ -254,9 +257,9 @@ class _Block:
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "mean_depth"])
 
 
-def _own(packed: bytes, n: int, many: int, kind: type) -> list[np.ndarray]:
+def _own(packed: bytes, n: int, kinds: list[type]) -> list[np.ndarray]:
     out, at = [], 0
-    for _ in range(many):
+    for kind in kinds:
         size = int.from_bytes(packed[at:at + 8], "little")
         out.append(_unpack(packed[at + 8:at + 8 + size], kind, n))
         at += 8 + size
@@ -264,7 +267,10 @@ def _own(packed: bytes, n: int, many: int, kind: type) -> list[np.ndarray]:
 
 
 def _bucket_answers(least_gain: float):
-    """Sums over all blocks for one bucket, told to each block in the order in which it asked."""
+    """Sums over all blocks for one bucket, told to each block in the order in which it asked.
+
+    For n-grams: twice the count, and one more for the block that answers for the n-gram. For contexts: the parent's share, -1 when it is not kept.
+    """
     def answer(asked: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         kinds = asked.column("kind").to_numpy()
@@ -272,23 +278,26 @@ def _bucket_answers(least_gain: float):
             part = asked.filter(pa.array(kinds == kind)).to_pylist()
             keys, place = np.unique(np.concatenate([_unpack_keys(r["keys"], r["n"]) for r in part]), return_inverse=True)
             if kind in (SHORT, LONG):
-                own = [np.concatenate(x) for x in zip(*(_own(r["own"], r["n"], 4, np.float64) for r in part))]
+                own = [np.concatenate(x) for x in zip(*(_own(r["own"], r["n"], [np.uint64, np.uint64, np.float32, np.float32]) for r in part))]
                 size = np.zeros(len(keys))
-                size[place] = own[0]
+                np.maximum.at(size, place, own[0].astype(np.float64))
                 kept, gain, share = (np.bincount(place, x, len(keys)) for x in own[1:])
-                rest = 1 - np.round(kept) / np.maximum(size, 1)
+                rest = 1 - kept / np.maximum(size, 1)
                 other = np.clip(1 - share, 1e-12, 1)
                 gain = gain + size * rest * np.log(np.maximum(rest, 1e-12) / other)
-                told = np.where((kept > 0.5) & (gain >= least_gain), rest, -1.0)
+                told = np.where((kept > 0) & (gain >= least_gain), rest, -1.0)[place]
             else:
-                own = np.concatenate([_own(r["own"], r["n"], 1, np.uint64)[0] for r in part])
-                told = np.zeros(len(keys), np.uint64)
-                np.add.at(told, place, own)
+                own = np.concatenate([_own(r["own"], r["n"], [np.uint64])[0] for r in part])
+                total = np.zeros(len(keys), np.uint64)
+                np.add.at(total, place, own)
+                told = total[place] << np.uint64(1)
+                learned = np.flatnonzero(own)
+                told[learned[np.unique(place[learned], return_index=True)[1]]] += np.uint64(1)
                 if kind == WORD:
-                    rows.append((-1, WORD, part[0]["bucket"], b"", int((told > 0).sum()), int(told.sum())))
+                    rows.append((-1, WORD, part[0]["bucket"], b"", int((total > 0).sum()), int(total.sum())))
             ends = np.cumsum([r["n"] for r in part])
             for r, a, b in zip(part, [0, *ends[:-1]], ends):
-                rows.append((r["block"], int(kind), r["bucket"], _pack(told[place[a:b]]), None, None))
+                rows.append((r["block"], int(kind), r["bucket"], _pack(told[a:b]), None, None))
         kinds_ = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds_)], [c.split()[0] for c in _TOLD.split(", ")])
 
