@@ -208,6 +208,16 @@ def score_articles(desk: Desk):
     return learning.score_articles(desk.texts(), known, _scorer(desk), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
 
 
+@query("score_articles_fixed", f"""
+ SELECT article_id, {fx("(n % 7) / 14.0 - (n % 100) / 200.0")} AS score, '2024-02-01 00:00:00.000000' AS calculated_at
+ FROM (SELECT article_id, length(title || ' ' || content) AS n FROM v_texts) WHERE article_id NOT IN (SELECT article_id FROM v_labels)""")
+def score_articles_fixed(desk: Desk):
+    """The scoring pass with probabilities that follow from the length of the whole text, so that its values have SQL."""
+    n = F.length("text")
+    scorer = lambda df: df.withColumn("probs", F.array((n % 100) / 200.0, F.lit(0.0), (n % 7) / 14.0))
+    return learning.score_articles(desk.texts(), desk.article_labels().select("article_id"), scorer, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+
+
 @query("text_model_eval")
 def text_model_eval(desk: Desk):
     return learning.text_model_eval(desk.article_labels(), desk.texts())
