@@ -335,9 +335,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
                 seen = fitted.evidence(part.column("text"))
                 yield pa.RecordBatch.from_arrays([pa.array(seen[:, 0]), pa.array(seen[:, 1]), part.column("toxic")], ["margin", "many", "toxic"])
 
-    seen = rows.select("text", "toxic").mapInArrow(evidence, "margin double, many double, toxic boolean").orderBy("margin", "many", "toxic").toArrow()
-    x = np.column_stack([seen.column("margin").to_numpy(), seen.column("many").to_numpy()])
-    return Model(machine.table, machine.bias, fit_logistic(x, seen.column("toxic").to_numpy()))
+    seen = rows.select("text", "toxic").mapInArrow(evidence, "margin double, many double, toxic boolean").toArrow()
+    margin, many, y = (seen.column(c).to_numpy() for c in ("margin", "many", "toxic"))
+    order = np.lexsort((y, many, margin))  # the same sums in any order of tasks
+    return Model(machine.table, machine.bias, fit_logistic(np.column_stack([margin, many])[order], y[order]))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
