@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from moodtide.session import shared_dir
 
 WINDOW = 5
-_SPACES = " \\t\\n\\u000B\\f\\r"
+_SPACES = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -38,11 +38,11 @@ QUANTILES = 24
 def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and counts of every whole text. Windows of five words are compared by a 64-bit hash inside their text."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("solid", F.expr(f"btrim(text, '{_SPACES}')"))
+    rows = rows.withColumn("solid", F.btrim("text", F.lit(_SPACES)))
     rows = rows.select(
         "doc_id", "text",
         F.when(F.col("solid") == "", F.array().cast("array<string>")).otherwise(F.split("solid", "[\\x20\\x09-\\x0D]+")).alias("words"),
-        F.filter(F.split("text", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\f\r"))) > 0).alias("lines"))
+        F.filter(F.split("text", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(_SPACES))) > 0).alias("lines"))
     n = F.size("words")
     word = lambda i: F.get("words", i)
     windows = F.when(n > WINDOW, F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[word(i + k) for k in range(WINDOW)])))

@@ -208,6 +208,13 @@ def test_statistics_by_hand(request, table):
     assert sorted((r.doc_id or -1, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == sorted(want)
 
 
+def test_statistics_of_texts_that_begin_and_end_with_f_or_form_feed(spark):
+    texts = ["for you and half", "f", "ff f", "\fone two\f", "\x0bfour\x0b", "\r\n\t f \f", "\f", "five words of a proof\fproof of f"]
+    got = decision_list.statistics(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    want = [(i, len(w), sum(map(len, w)), len(set(w))) for i, w in ((i, WORD.findall(t)) for i, t in enumerate(texts))]
+    assert sorted((r.doc_id, r.n_words, r.word_chars, r.n_different) for r in got) == want
+
+
 def test_rules_are_learned_and_prune_what_does_not_hold(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
