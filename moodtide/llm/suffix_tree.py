@@ -3,7 +3,7 @@
 The symbols of a text are its words (A-Z lowered) and one end. The root gives a symbol with count c the probability (c + 1) / (N + 1 * (V + 1)), the one that was not seen
 included. A context s of count c(s) spreads (c(s, w) - 1) / c(s) over the symbols that followed it at least twice; what is left, one for each different
 symbol that followed, goes by the distribution of the longest kept context that s ends in. So all distributions are smoothed and add up to one.
-A context is kept when it came ``least_count`` times and makes ``least_share`` of all symbols, and the divergence of its distribution from its parent's, times its count, reaches ``least_gain``
+A context is kept when it came ``least_count`` times, however large the corpus, and the divergence of its distribution from its parent's, times its count, reaches ``least_gain``
 (in nats; taken over the symbols seen twice and the rest as one). A symbol is scored in the longest kept context before it.
 
 How it runs. Texts are tokenized once into blocks of about ``BLOCK_TOKENS`` symbols, a bucketed table of codes and 64-bit hashes of words. A block asks for the corpus
@@ -17,7 +17,6 @@ one and learned from as often; with nothing to learn from all scores are 0; an e
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ from moodtide.session import shared_dir
 BLOCK_TOKENS = 1_000_000
 #: Symbols of the corpus to a bucket, so that its questions fit in a task.
 BUCKET_TOKENS = 2_000_000
-LEAST_COUNT, LEAST_SHARE, LEAST_GAIN = 8, 3.5e-7, 2.0
+LEAST_COUNT, LEAST_GAIN = 8, 2.0
 
 _END = np.uint64(0x5851F42D4C957F2D)
 _BLOCKS = "block bigint, n bigint, ids array<bigint>, held binary, ends binary, codes binary, hashes binary"
@@ -314,7 +313,7 @@ def _asked_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in _ASKED.split(", ")])
 
 
-def score_texts(docs: DataFrame, held_out: Column, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN, least_share: float = LEAST_SHARE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mean_depth`` of every text, by a tree of the texts not held out.
 
     The block table is external, in the shared folder; only its name leaves the catalog again.
@@ -341,12 +340,11 @@ def score_texts(docs: DataFrame, held_out: Column, least_count: int = LEAST_COUN
     told = answered(blocks.mapInArrow(first, _ASKED), "first")
     size = told.filter("block = -1").agg(F.sum("different").alias("v"), F.sum("total").alias("n")).first()
     different, total = size.v or 0, size.n or 0
-    least = max(least_count, math.ceil(least_share * total))
     told = told.filter("block >= 0").select("block", "kind", "bucket", "told")
 
     def block_of(left: pa.Table, right: pa.Table) -> tuple[_Block, dict]:
         answers = {(r["kind"], r["bucket"]): r["told"] for r in right.to_pylist()}
-        block = _Block(left.to_pylist()[0], buckets, least)
+        block = _Block(left.to_pylist()[0], buckets, least_count)
         block.hear_first(answers, total, different)
         return block, answers
 

@@ -83,6 +83,15 @@ def test_suffix_tree_without_training_or_rows(odd, none):
     assert suffix_tree.score_texts(none, F.lit(False)).count() == 0
 
 
+def test_suffix_tree_keeps_contexts_by_count_in_a_large_corpus(spark):
+    """Eight texts among 24 million symbols are learned from as they are alone."""
+    few = spark.range(8).selectExpr("id AS doc_id", "'x y z' AS text")
+    filler = spark.range(100, 104).selectExpr("id AS doc_id", "repeat('a ', 6000000) AS text")
+    for docs in (few, few.unionByName(filler)):
+        got = suffix_tree.score_texts(docs, F.lit(False)).filter("doc_id < 100").collect()
+        assert len(got) == 8 and {r.mean_depth for r in got} == {(0 + 1 + 1 + 1) / 4}
+
+
 # -- line dedup ----------------------------------------------------------------------------------
 def brute_lines(rows, least):
     """Rows are ordered by id and then by no more: ids in these tests are unique, but for equal rows."""
