@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from moodtide.llm import queries, string_kernel
+from moodtide.llm import queries, shingle_join, string_kernel
 from tests.llm.conftest import ODD_TEXTS
 from tests.llm.test_search import naive_components, naive_fingerprint
 from tests.llm.test_texts import brute_lines
@@ -121,3 +121,63 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark, folder):
 
 def test_run_is_the_last_stage(spark, folder):
     assert corpus_pipeline.run(spark, folder).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def jaccard_roots(texts, size=5):
+    """By the definition: all pairs of shingle sets."""
+    def shingles(text):
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+        return {tuple(words[i:i + size]) for i in range(max(len(words) - size + 1, 1))} if words else set()
+
+    found = {i: shingles(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(found):
+        for j in sorted(found):
+            if i < j and (found[i] == found[j] or 5 * len(found[i] & found[j]) >= 4 * len(found[i] | found[j])):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in texts}
+
+
+def planted():
+    """Texts of all lengths with copies of one to some changed words, one large family of copies, and a passage that many texts share."""
+    rng = random.Random(12)
+    word = lambda: f"{rng.choice('bcdfgklmnprst')}{rng.choice('aeiou')}{rng.randint(0, 400)}"
+    passage = [word() for _ in range(40)]
+    texts = [None, "", " ", "one", "One", "a b c d", "a b c e"]
+    for n in (5, 6, 12, 50, 60, 100, 200, 400):
+        for _ in range(6):
+            base = [word() for _ in range(n)]
+            texts.append(" ".join(base))
+            for changes in (1, 1, 2, 3, 5):
+                copy = list(base)
+                for at in rng.sample(range(n), min(changes, n)):
+                    copy[at] = word()
+                texts.append(" ".join(copy))
+    family = [word() for _ in range(150)]
+    for i in range(90):
+        texts.append(" ".join([*family[:i % 30], word(), *family[i % 30:]]))
+        texts.append(" ".join([*passage, *(word() for _ in range(rng.choice([5, 8, 60])))]))
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("sample", [16, 1])
+def test_near_dedup_links_all_pairs_of_similarity_08(spark, folder, sample):
+    texts = planted()
+    root = jaccard_roots(texts)
+    assert len(set(root.values())) < len(texts) - 150
+    docs = spark.createDataFrame([(i, t, "en", "src1", len(t or "")) for i, t in texts.items()], "doc_id bigint, text string, lang string, source string, n_chars int").repartition(5)
+    found = {r.id: r.root for r in shingle_join.near_duplicates(docs, sample=sample).collect()}
+    groups = lambda of: {frozenset(i for i in of if of[i] == x) for x in set(of.values())}
+    assert groups(found) == groups(root)
+    if sample > 1:
+        assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()} == set(root.values())
+
+
+def test_prefix_of_a_set_leaves_less_than_similar_sets_share():
+    assert [shingle_join.prefix(n) for n in (0, 1, 4, 5, 6, 100)] == [0, 1, 1, 2, 2, 21]
