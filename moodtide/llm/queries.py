@@ -1,4 +1,4 @@
-"""The ten registered queries over whole tables, and the SQL that has to give the same rows where SQL can say it."""
+"""The registered queries over whole tables, and the SQL that has to give the same rows where SQL can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, decision_list, line_dedup, mixing, simhash, string_kernel, suffix_tree, token_files, top_k
+from moodtide.llm import best_fit, chat, collocations, decision_list, line_dedup, mixing, simhash, string_kernel, suffix_tree, token_files, top_k
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,28 @@ def language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and suffix-tree scores of every document; a seventh by the id's checksum is held out."""
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return suffix_tree.score_texts(table(spark, sf_dir, "documents"), held)
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_collocations", f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents),
+p AS (SELECT lang, regexp_extract_all(x, '[^\\x20\\x09]+') AS w FROM d),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, s, phrase, count(*) AS f FROM (
+    SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM (SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM p, (VALUES (1), (2), (3)) AS sizes(s)))
+  GROUP BY lang, s, phrase HAVING count(*) >= 10),
+c AS (SELECT lang, s, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE s > 1),
+i AS (SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE s = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE s = 3) GROUP BY lang, phrase),
+k AS (SELECT c.*, unnest(range(1, s)) AS k FROM c LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR s = 3 OR 100 * longer < 50 * a),
+u AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, CAST((CAST(1000000 AS HUGEINT) * k.a * k.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN f AS l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k.k], ' ') JOIN f AS r ON r.lang = k.lang AND r.phrase = array_to_string(w[k.k + 1:], ' ')),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS best FROM u),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE best = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE rank <= 2000
+""")
+def best_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words in each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
