@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodtide.llm import best_fit, chat, collocations, decision_list, line_dedup, mixing, simhash, string_kernel, suffix_tree, token_files, top_k
+from moodtide.llm import best_fit, chat, collocations, decision_list, line_dedup, mixing, simhash, spelling, string_kernel, suffix_tree, token_files, top_k, winnowing
 from moodtide.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,45 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE ra
 def best_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best phrases of two and three words in each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling", f"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), n)) AS crc),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, {_LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} AS w FROM documents),
+g AS (SELECT id, w, count(*) AS n, hex(encode(id || ':' || w)) AS x FROM r GROUP BY id, w),
+h AS (SELECT w, n, xor(4294967295, list_reduce(list_transform(range(1, length(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT))) AS h FROM g, t),
+a AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM a WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT x.word, y.word AS other, y.n FROM d x JOIN d y ON x.d = y.d AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM d x JOIN v y ON x.d = y.word UNION SELECT y.word, x.word, x.n FROM d x JOIN v y ON x.d = y.word),
+b AS (SELECT word, count(*) AS n_near, max(n) AS most FROM e GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * v.n THEN (SELECT min(other) FROM e WHERE e.word = v.word AND e.n = most) END AS form,
+  CASE WHEN most >= 5 * v.n THEN most END AS form_n FROM v LEFT JOIN b USING (word)),
+o AS (WITH RECURSIVE c(word, last) AS (SELECT word, word FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.last WHERE f.form IS NOT NULL)
+  SELECT c.word, c.last FROM c JOIN f ON f.word = c.last WHERE f.form IS NULL)
+SELECT word, form, last AS root, n, n_near, form_n FROM f JOIN o USING (word)
+""")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents, some altered by the checksum of id and word, with their near words, forms and roots."""
+    return spelling.variants(table(spark, sf_dir, "documents"), every=199)
+
+
+@query("op12_winnowing", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+m AS (SELECT item, w, least(len(w), 10) AS size FROM b WHERE len(w) > 0),
+i AS (SELECT DISTINCT item, size, array_to_string(w[p:p + size - 1], ' ') AS x FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM m)),
+s AS (SELECT DISTINCT size FROM m),
+x AS (SELECT r, size, p, array_to_string(w[p:p + size - 1], ' ') AS x FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, s)),
+h AS (SELECT r, size, p, item FROM x JOIN i USING (size, x)),
+n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS place FROM (SELECT DISTINCT r, p, size FROM h)) GROUP BY r),
+k AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)
+""")
+def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie inside ten-word windows of benchmark items, and these items."""
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")

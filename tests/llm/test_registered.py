@@ -21,6 +21,9 @@ COLUMNS = {  # the columns that every result has to have
     "op8": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op9": "doc_id bigint, domain string, lang string, source string, n_tokens bigint, copies bigint",
     "op10": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op12": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
 
