@@ -45,6 +45,15 @@ def stg_articles_v2(desk: Desk):
     return staging.stage_articles(desk.raw_articles())
 
 
+@query("stg_articles_odd_ids", f"SELECT {_STG}, 'raw_articles' AS source_system FROM v_odd_stg_articles")
+def stg_articles_odd_ids(desk: Desk):
+    """Deliveries with null and negative ids, ids that two URLs share, and rows that were landed twice: still one row a URL, and its own."""
+    raw, i = desk.raw_articles(), c("raw_id")
+    twice = raw.unionByName(raw.where((i % 37).isin(0, 1)))
+    odd = F.when(i % 23 == 0, F.lit(None)).when(i % 29 == 0, -i).when(i % 31 == 0, i - 2).otherwise(i)
+    return staging.stage_articles(twice.withColumn("raw_id", odd))
+
+
 @query("stg_sentiment_scores_v2", f"""
  SELECT score_id, article_id_raw, {fx("score")} AS score, {ts("calculated_at")} AS calculated_at, {ts("ingest_time")} AS ingest_time,
   'raw_sentiment_scores' AS source_system FROM v_stg_scores""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.base import day, settle, view
+from catalog.base import VIEWS, day, settle, view
 
 DAY, CLOCK = "[0-9]{4}-[0-9]{2}-[0-9]{2}", "[0-9]{2}:[0-9]{2}:[0-9]{2}"
 MAIL = rf"^[A-Za-z]{{3}},\s+([0-9]{{1,2}}\s+[A-Za-z]{{3}}\s+[0-9]{{4}}\s+{CLOCK})"
@@ -101,6 +101,12 @@ view("v_stg_articles", """
               min(raw_id) OVER (PARTITION BY url) AS first_id FROM v_extracted WHERE url IS NOT NULL)
  WHERE rn = 1""")
 
+view("v_odd_extracted", """
+ SELECT * REPLACE (CASE WHEN raw_id % 23 = 0 THEN NULL WHEN raw_id % 29 = 0 THEN -raw_id WHEN raw_id % 31 = 0 THEN raw_id - 2 ELSE raw_id END AS raw_id)
+ FROM (SELECT * FROM v_extracted UNION ALL SELECT * FROM v_extracted WHERE raw_id % 37 IN (0, 1))""")
+
+view("v_odd_stg_articles", VIEWS["v_stg_articles"].replace("FROM v_extracted", "FROM v_odd_extracted").replace("raw_id DESC", "raw_id DESC NULLS LAST"))
+
 view("v_stg_scores", """
  SELECT sha256(article_id_raw) AS score_id, article_id_raw, CAST(score_text AS DOUBLE) AS score,
   CAST(replace(calculated_text, 'T', ' ') AS TIMESTAMP) AS calculated_at, ingested_at AS ingest_time

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +32,10 @@ _FIELD_OF = {"title": "title", "author_hash": "author", "content": "content", "p
 _STAGED = ["article_id", "url", "source_name", "title", "author_hash", "content", "push_count", "published_at", "scraped_at", "ingest_time", "source_system"]
 
 
-def extract_articles(raw: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Typed fields of each raw delivery; the payload is parsed once. ``fields`` limits them to some payload fields besides the URL."""
+def extract_articles(raw: DataFrame, fields: list[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed fields of each raw delivery; the payload is parsed once. ``fields`` limits them to some payload fields besides the URL; ``keep`` adds columns of ``raw``."""
     wanted = [f for f in _ARTICLE_FIELDS if f == "url" or fields is None or f in fields]
-    p = computed_once(raw, "raw_id", "source_name", "ingested_at",
+    p = computed_once(raw, "raw_id", "source_name", "ingested_at", *keep,
                       F.from_json("raw_payload", _fields(wanted)).alias("p"))
     field, source = (lambda f: F.col(f"p.{f}")), F.col("source_name")
     typed = {
@@ -44,35 +46,21 @@ def extract_articles(raw: DataFrame, fields: list[str] | None = None) -> DataFra
         "published_at": lambda: _ntz(dates.parse_date_by_source(field("published_at"), source)).alias("published_at"),
         "scraped_at": lambda: _ntz(dates.parse_date_by_source(field("scraped_at"), source)).alias("scraped_raw"),
     }
-    return p.select(text.blank_to_null(field("url")).alias("url"), "raw_id", "source_name", "ingested_at", *[typed[f]() for f in wanted if f != "url"])
-
-
-_RAW_IDS = 10**19  # more than any 64-bit id
-
-
-def winners(raw: DataFrame) -> DataFrame:
-    """``url, article_id, raw_id``: the smallest id a URL ever had and the id of its latest delivery.
-
-    Time and id are one decimal, which a hash aggregate can hold: each input partition is reduced without a sort, and only numbers are shuffled.
-    """
-    address = computed_once(raw, F.from_json("raw_payload", _fields(["url"])).alias("p"), "raw_id", "ingested_at")
-    keys = address.select(text.blank_to_null(F.col("p.url")).alias("url"), "raw_id", "ingested_at").where("url IS NOT NULL")
-    at = F.coalesce(F.unix_micros(F.col("ingested_at").cast("timestamp")), F.lit(-(10**17)))
-    place = (at.cast("decimal(19,0)") * F.lit(str(_RAW_IDS)).cast("decimal(20,0)")).cast("decimal(38,0)") + F.col("raw_id").cast("decimal(19,0)")
-    last = keys.groupBy("url").agg(F.min("raw_id").alias("article_id"), F.max(place.cast("decimal(38,0)")).alias("_last"))
-    return last.select("url", "article_id", F.pmod("_last", F.lit(str(_RAW_IDS)).cast("decimal(38,0)")).cast("bigint").alias("raw_id"))
+    return p.select(text.blank_to_null(field("url")).alias("url"), "raw_id", "source_name", "ingested_at", *keep, *[typed[f]() for f in wanted if f != "url"])
 
 
 def stage_articles(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Latest delivery per URL; the id is the smallest raw id the URL ever had, so it never changes.
 
-    The winning deliveries are found on narrow rows; what is then joined by raw id is read for the wanted ``columns`` only.
+    The payload is parsed once, for the wanted ``columns`` only. Of deliveries that share time and id the one of the largest payload hash wins, so a row that was
+    landed twice is one row; a null id or time is older than any other.
     """
     columns = columns or _STAGED
-    rows = extract_articles(raw, [_FIELD_OF[c] for c in columns if c in _FIELD_OF]).drop("url")
+    rows = extract_articles(raw.withColumn("_mark", F.xxhash64("raw_payload")), [_FIELD_OF[c] for c in columns if c in _FIELD_OF], keep=["_mark"])
+    last = latest(rows.where("url IS NOT NULL"), ["url"], ["ingested_at", "raw_id", "_mark"], [F.min("raw_id").alias("article_id")])
     made = {"author_hash": lambda: pii.pii_hash(F.col("author_raw")), "scraped_at": lambda: F.coalesce("scraped_raw", "ingested_at"),
             "ingest_time": lambda: F.col("ingested_at"), "source_system": lambda: F.lit("raw_articles")}
-    return rows.join(winners(raw), "raw_id").select(*[made.get(c, lambda: F.col(c))().alias(c) for c in columns])
+    return last.select(*[made.get(c, lambda: F.col(c))().alias(c) for c in columns])
 
 
 def stage_scores(raw: DataFrame) -> DataFrame:

@@ -31,6 +31,19 @@ def test_latest_delivery_wins_and_first_id_stays(spark):
     assert (got["u2"]["push_count"], got["u2"]["published_at"], got["u2"]["scraped_at"]) == (-3, datetime(2024, 1, 2, 3, 4, 5), at)
 
 
+def test_odd_ids_keep_one_row_a_url(spark):
+    """Null, negative, repeated and shared ids: each URL has one row, with its own fields."""
+    at, later = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    item = lambda i, url, title, t=at: (i, "cnn", f'{{"url":"{url}","title":"{title}"}}', t)
+    staged = staging.stage_articles(raw(spark, [
+        item(None, "u0", "only"), item(1, "u1", "twice"), item(1, "u1", "twice"), item(4, "u2", "two"), item(4, "u3", "three"),
+        item(-7, "u4", "below zero"), item(None, "u5", "old"), item(-9, "u5", "new"), item(8, "u6", "timed", later), item(9, "u6", "no time", None),
+        item(-(2**63), "u7", "least"), item(2**63 - 1, "u7", "most")]))
+    assert rows(staged.select("url", "article_id", "title")) == [
+        ("u0", None, "only"), ("u1", 1, "twice"), ("u2", 4, "two"), ("u3", 4, "three"), ("u4", -7, "below zero"), ("u5", -9, "new"), ("u6", 8, "timed"),
+        ("u7", -(2**63), "most")]
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     """A key with most of the rows has to leave the map side as one row per partition."""
     df = spark.range(0, 20000, 1, 4).select(F.lit("hot").alias("url"), F.col("id").alias("raw_id"), F.lit(1).alias("x"))
