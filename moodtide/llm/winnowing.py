@@ -105,7 +105,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, most_
     seeds.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("length", "at", "h")).alias("seeds")).write.parquet(f"{folder}/seeds")
     seeds = spark.read.parquet(f"{folder}/seeds").withColumnsRenamed({"doc_id": "id", "mark": "own"})
     keyed = docs.select(F.col(doc_id).alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text"))
-    texts = keyed.join(seeds, keyed["doc_id"].eqNullSafe(seeds["id"]) & (keyed["mark"] == seeds["own"])).select("doc_id", "mark", words("text").alias("words"), "seeds")
+    # one plan at all sizes: the texts' rows are sorted to meet their seeds, and Spark's own runtime filter cuts them down first where the table is large
+    texts = keyed.join(seeds.hint("merge"), keyed["doc_id"].eqNullSafe(seeds["id"]) & (keyed["mark"] == seeds["own"])).select("doc_id", "mark", words("text").alias("words"), "seeds")
     near = F.transform("seeds", lambda s: F.struct(s["length"].alias("length"), s["at"].alias("at"), s["h"].alias("h"), *_around(s["length"], s["at"])))
     hits = texts.select("doc_id", "mark", F.explode(near).alias("s")).select("doc_id", "mark", "s.*")
     other = tests.withColumnsRenamed({c: f"{c}_" for c in ("before", "gram", "behind")})
