@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from moodtide.llm.flat import numbered, slices, text_buffer
 from moodtide.session import shared_dir
 
+#: Bytes of text worked on at a time: reading sentences takes some fifty times as much work memory.
+SLICE = 2 << 20
 SAMPLE = 20_000
 LANDMARKS = 160
 DECAY = 0.5
@@ -244,7 +246,8 @@ class Model:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Whether a row's label is never learned from; a null id has none and is not held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -262,7 +265,7 @@ def _telling_words(rows: DataFrame, toxic: int, other: int) -> list[tuple[bytes,
     ``other`` most common ones of the rest."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 codes, distinct, bounds, firsts = sentences(part.column("text"))
                 row = np.repeat(np.arange(part.num_rows), np.diff(bounds[firsts]))
                 pairs = np.unique(row * (len(distinct) + 1) + codes)
@@ -312,7 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
 
         def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", SLICE):
                     codes, distinct, bounds, firsts = sentences(part.column("text"))
                     value = word_scores(distinct, now.table)[codes]
                     begin = bounds[firsts]
@@ -331,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 seen = fitted.evidence(part.column("text"))
                 yield pa.RecordBatch.from_arrays([pa.array(seen[:, 0]), pa.array(seen[:, 1]), part.column("toxic")], ["margin", "many", "toxic"])
 
@@ -342,16 +345,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score of each text. The model goes to the executors once; its size is fixed."""
+    """``docs`` with the score of each text in column ``name``, which replaces one of that name. The model goes to the executors once; its size is fixed."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    inner = docs.withColumn("_text_", F.coalesce(F.col(text), F.lit("")))
-    keep = [c for c in docs.columns]
+    keep = [c for c in docs.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text_"):
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(shared.value.scores(part.column("_text_")))], [*keep, name])
+            for part in slices(batch, text, SLICE):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(shared.value.scores(part.column(text)))], [*keep, name])
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return inner.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))
+    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, StructType([docs.schema[c] for c in keep]).add(name, DoubleType()))
