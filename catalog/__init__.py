@@ -3,6 +3,6 @@
 
 def load():
     from catalog import base, views  # noqa: F401
-    from catalog import columns, landing, parsing, quality, serving, tables, prediction, operations  # noqa: F401
+    from catalog import columns, landing, parsing, quality, serving, tables, prediction, operations, increments  # noqa: F401
 
     return base.QUERIES, base.ORACLES

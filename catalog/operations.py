@@ -176,7 +176,11 @@ def _folders(desk: Desk, *names: str) -> list[str]:
 def stream_staging(desk: Desk):
     log, checkpoint = _folders(desk, "staging", "checkpoint")
     jobs.publish_staging(StreamDesk(desk.spark, desk.folder).raw_articles(), log, checkpoint)
-    return jobs.current_staging(desk.spark, log).select(
+    return staged(jobs.current_staging(desk.spark, log))
+
+
+def staged(log):
+    return log.select(
         "article_id", "url", "source_name", "title", pii.pii_hash(c("author_raw")).alias("author_hash"), "content", "push_count",
         "published_at", F.coalesce("scraped_raw", "ingested_at").alias("scraped_at"), c("ingested_at").alias("ingest_time"))
 
@@ -192,7 +196,7 @@ def stream_ingest_hourly(desk: Desk):
 def stream_dedup(desk: Desk):
     urls, checkpoint = _folders(desk, "urls", "checkpoint")
     jobs.first_deliveries(StreamDesk(desk.spark, desk.folder).raw_articles(), urls, checkpoint)
-    return desk.spark.read.parquet(urls).select("url", "source_name")
+    return jobs.first_seen(desk.spark, urls).read().select("url", "source_name")
 
 
 @query("stream_fact", f"SELECT {_FACT} FROM v_fact")

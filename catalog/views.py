@@ -223,3 +223,15 @@ view("v_labels", """
  FROM labels""")
 
 __all__ = ["DAY", "CLOCK", "MAIL", "day", "parse_date"]
+
+# -- the tables after several batches of changes -----------------------------------------------------
+view("v_moved_articles", """
+ SELECT * REPLACE (CASE WHEN article_id % 10 = 0 THEN CAST(1 + source_id % 5 AS INTEGER) ELSE source_id END AS source_id,
+                   CASE WHEN article_id % 10 = 0 THEN published_at + INTERVAL 1 DAY ELSE published_at END AS published_at)
+ FROM v_articles WHERE article_id % 25 <> 1""")
+
+view("v_kept_scores", "SELECT * FROM v_scores WHERE article_id % 7 <> 3")
+
+view("v_late_fact", VIEWS["v_fact"].replace("v_articles", "v_moved_articles").replace("v_scores", "v_kept_scores"))
+
+view("v_late_mart", VIEWS["v_mart_daily"].replace("v_fact", "v_late_fact"))

@@ -95,6 +95,10 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 # -- row contract ---------------------------------------------------------------------------
+#: Names of what may be wrong with a parsed article.
+REASONS = ["title", "content", "url", "push_count", "published_at", "comments"]
+
+
 def contract_reasons(as_of: Column) -> Column:
     """Why a parsed article may not be stored; an empty array means it is fine."""
     c = F.col

@@ -1,16 +1,17 @@
 """Landed bodies of every source to article rows of one shape.
 
-``landed`` holds source, kind, url and body; kind says what the body is: list, post, listing, bulk, sitemap, month, page,
-index. All sources give title, content, url, author, push_count, published_at and comments.
+``landed`` holds source, kind, url and body; kind says what the body is: list, post, listing, bulk, sitemap, index, month, page, cdx. All sources give title, content, url,
+author, push_count, published_at and comments. Bodies of a kind that no job of their source reads are counted by :func:`unread`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from moodtide import config
 from moodtide.functions import pii, text
 from moodtide.operators import merge, quality
 from moodtide.operators.numbering import ranked
@@ -48,12 +49,28 @@ def forum_us(landed: DataFrame) -> DataFrame:
 
 
 def sitemap_news(landed: DataFrame, source: str) -> DataFrame:
-    """News sitemap entries with the text of their page; the title stands in for a missing or short text."""
-    entries = feeds.sitemap_entries(_kind(landed, source, "sitemap")).drop("position")
+    """News sitemap entries, of sitemaps that were landed or that a landed index leads to, with the text of their page; the title stands in for a missing or short text."""
+    maps = _kind(landed, source, "sitemap")
+    below = feeds.expand_index(_kind(landed, source, "index"), landed.where((F.col("source") == source) & F.col("kind").isin("sitemap", "index")))
+    entries = feeds.sitemap_entries(maps).drop("position").unionByName(below.drop("root", "sitemap", "position"))
+    first = entries.groupBy("url").agg(F.min(F.struct("published_at", "title")).alias("e")).select("url", "e.title", "e.published_at")
     pages = parsers.news_page(_kind(landed, source, "page"), source, body="body", keep=("url",)).select(
         "url", text.at_least(F.col("content"), SITEMAP_BODY_CHARS).alias("content"))
-    full = entries.join(pages, "url", "left")
-    return _shaped(full.withColumn("content", F.coalesce("content", "title")), source)
+    return _shaped(first.join(pages, "url", "left").withColumn("content", F.coalesce("content", "title")), source)
+
+
+def archive(landed: DataFrame, source: str) -> DataFrame:
+    """Articles of an archive: the earliest snapshot of each address in the landed index answers, with its page; without one it waits for a later run."""
+    rows = feeds.archive_index_rows(_kind(landed, source, "cdx"), F.lit(config.ARCHIVE_SOURCES[source]["article_pattern"]), keep=("url",))
+    snapshots = feeds.earliest_snapshots(rows.withColumnRenamed("url", "answer"), landed.where("false"), ["answer", "position"])
+    return archived(snapshots, _kind(landed, source, "page"), source)
+
+
+def archived(snapshots: DataFrame, pages: DataFrame, source: str) -> DataFrame:
+    """Articles of the snapshots (timestamp, original) whose page is landed."""
+    wanted = snapshots.withColumn("url", feeds.snapshot_address(F.col("timestamp"), F.col("original")))
+    bodies = pages.select("url", "body").groupBy("url").agg(F.max("body").alias("body"))
+    return _shaped(parsers.archive_page(wanted.join(bodies, "url").drop("url"), body="body"), source)
 
 
 def sitemap_cnn(landed: DataFrame) -> DataFrame:
@@ -76,13 +93,49 @@ JOBS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "wsj": lambda landed: sitemap_news(landed, "wsj"),
     # This site's pages are closed: its entries never have a page, so the title is the text.
     "marketwatch": lambda landed: sitemap_news(landed, "marketwatch"),
+    "wayback_cnn": lambda landed: archive(landed, "wayback_cnn"),
+    "wayback_wsj": lambda landed: archive(landed, "wayback_wsj"),
 }
+#: Kinds of bodies the job of a source reads.
+KINDS = {
+    "ptt": ("list", "post"), "cnyes": ("listing",), "reddit": ("listing", "bulk"), "cnn": ("sitemap", "month", "page"), "wsj": ("sitemap", "index", "page"),
+    "marketwatch": ("sitemap", "index", "page"), "wayback_cnn": ("cdx", "page"), "wayback_wsj": ("cdx", "page"),
+}
+
+
+def unread(landed: DataFrame) -> DataFrame:
+    """``source, kind, bodies`` of what no job reads."""
+    read = F.lit(False)
+    for source, kinds in KINDS.items():
+        read = read | (F.col("source").eqNullSafe(source) & F.coalesce(F.col("kind").isin(*kinds), F.lit(False)))
+    return landed.where(~read).groupBy("source", "kind").agg(F.count(F.lit(1)).alias("bodies"))
+
+
+def routed(landed: DataFrame, as_of) -> DataFrame:
+    """Articles of all sources with ``valid`` and ``reasons``."""
+    return quality.validate_articles(quality.union_all([job(landed) for job in JOBS.values()]), as_of)
 
 
 def scraped(landed: DataFrame, as_of) -> DataFrame:
     """Valid articles of all sources."""
-    rows = quality.union_all([job(landed) for job in JOBS.values()])
-    return quality.validate_articles(rows, as_of).where("valid").drop("valid", "reasons")
+    return routed(landed, as_of).where("valid").drop("valid", "reasons")
+
+
+def quarantine(rows: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Write validated rows once, those that hold beside those that do not: the valid ones, and the counts by outcome and reason as they were seen on the way.
+
+    A row with several reasons counts for each. What was rejected stays readable, with its reasons, by :func:`rejected`.
+    """
+    seen = Observation()
+    counts = [F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected"),
+              *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in quality.REASONS]]
+    rows.observe(seen, *counts).write.mode("overwrite").partitionBy("valid").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).where("valid").drop("valid", "reasons"), seen.get
+
+
+def rejected(spark, path: str, schema) -> DataFrame:
+    """Rejected rows below a folder of :func:`quarantine`; the valid ones are another partition and are not read."""
+    return spark.read.schema(schema).parquet(path).where("NOT valid").drop("valid")
 
 
 def masked(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from moodtide.functions import dates, text
 from moodtide.functions.html import html_to_text
 from moodtide.operators import merge, quality
+from moodtide.session import shared_dir
 from moodtide.sources import feeds, parsers
+from moodtide.sources.bodies import BodyStore
+from moodtide.sources.keyed import KeyedTable
 from moodtide.sources.parsers import BODY_CONTAINERS
 
 FIELDS = ["title", "content", "published_at"]
@@ -78,8 +81,32 @@ def check_and_repair(articles: DataFrame, sources: DataFrame, responses: DataFra
         quality.enforce(check(articles))
         return articles
     except quality.QualityError:
-        if not fixes(articles, sources, responses).head(1):
+        found = settled_fixes(articles, sources, responses)
+        if found.isEmpty():
             raise
-        mended = repair(articles, sources, responses)
+        mended = merge.patch(articles, found, ["article_id"], FIELDS)
         quality.enforce(check(mended))
         return mended
+
+
+def settled_fixes(articles: DataFrame, sources: DataFrame, responses: DataFrame) -> DataFrame:
+    """:func:`fixes`, written down: bodies are read and parsed once, whatever is done with the result."""
+    folder = shared_dir(articles.sparkSession, "fixes")
+    fixes(articles, sources, responses).write.parquet(folder)
+    return articles.sparkSession.read.parquet(folder)
+
+
+def check_and_mend(table: KeyedTable, sources: DataFrame, bodies: BodyStore, check: Callable[[DataFrame], DataFrame]) -> int:
+    """The same over a stored table by URL: only bad rows' bodies are read, and only units that hold a mended row are written. The number of mended rows."""
+    articles = table.read()
+    try:
+        quality.enforce(check(articles))
+        return 0
+    except quality.QualityError:
+        bad = quality.diagnose(articles, sources)
+        found = settled_fixes(articles, sources, bodies.documents(bad))
+        if found.isEmpty():
+            raise
+        table.patch(found.join(articles.select("article_id", "url"), "article_id").drop("article_id"), FIELDS)
+        quality.enforce(check(table.read()))
+        return found.count()

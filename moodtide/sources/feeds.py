@@ -132,6 +132,11 @@ def earliest_snapshots(rows: DataFrame, known: DataFrame, order: list[str]) -> D
     return first.join(seen, "canonical", "left_anti").select("canonical", "s.timestamp", "s.original")
 
 
+def snapshot_address(timestamp: Column, original: Column) -> Column:
+    """Where the archive serves the page of a snapshot as it was."""
+    return F.concat(F.lit("https://web.archive.org/web/"), timestamp, F.lit("id_/"), original)  # fixed value: the archive's address form
+
+
 # -- crawl calendar --------------------------------------------------------------------------------
 def month_sequence(spans: DataFrame, start: str, end: str) -> DataFrame:
     """Every month from the column ``start`` to the column ``end``, both inclusive."""

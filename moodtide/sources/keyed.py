@@ -4,17 +4,20 @@ A merge writes what it adds or changes as new units of the buckets it touches, l
 stay as they are. Buckets of many units are written as one on the way. A job that is lost before the manifest is written leaves the table as it was, and its files are found
 and removed later. A ``sequence`` makes a merge take effect once: a manifest keeps the highest one applied, and a merge that comes again with it changes nothing.
 
-Every unit has a filter of its keys, written with it. A batch asks the filters first, so a unit that holds none of its keys is not read. The filters decide what is read;
-the join that follows is exact.
+Every unit of some size has a filter of its keys, written with it. A batch asks the filters first, so a unit that holds none of its keys is not read; smaller units are read
+as soon as that. The filters decide what is read; the join that follows is exact.
 
 A table has one writer at a time (a run is scheduled once); a second one would fail when it writes the same manifest number. Keys may be null: null is a key like any other.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +29,35 @@ BUCKETS = 64
 #: Bits of a filter for each key, and bits a key sets: about one absent key in a hundred passes.
 FILTER_BITS = 10
 PROBES = 7
+#: Rows from which a unit has a filter; below, reading the unit costs no more than reading a filter.
+LEAST_FILTERED = 1000
 #: Units of a bucket beyond which a merge that touches it writes it as one.
 MOST_UNITS = 8
-_MANIFEST = "bucket int, folder string, rows bigint, top bigint, sequence bigint, written_at timestamp"
+
+
+class Unit(NamedTuple):
+    """A bucket's part of a folder: a line of a manifest."""
+
+    bucket: int
+    folder: str
+    rows: int
+    top: int | None
+
+
+class Manifest(NamedTuple):
+    units: list[Unit]
+    sequence: int
+    written_at: float
 
 
 class KeyedTable:
     """Rows with at most one per key in ``buckets`` buckets; ``counter`` names a whole-number column whose largest value the manifest keeps for each unit."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = BUCKETS, counter: str | None = None, schema: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = BUCKETS, counter: str | None = None, schema: str | None = None,
+                 least_filtered: int = LEAST_FILTERED):
         self.spark, self.path, self.keys, self.buckets, self.counter, self.schema = spark, path.rstrip("/"), list(keys), buckets, counter, schema
-        self._notes: dict[int, list] = {}  # complete manifests never change
+        self.least_filtered = least_filtered
+        self._notes: dict[int, Manifest] = {}  # complete manifests never change
 
     # -- folders ---------------------------------------------------------------------------------
     def _hadoop(self, path: str):
@@ -48,19 +69,38 @@ class KeyedTable:
         return [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
 
     def versions(self) -> list[int]:
-        """Numbers of the complete manifests, in order."""
-        found = [int(n.split("=")[1]) for n in self._names(f"{self.path}/manifests") if n.startswith("version=")]
-        return sorted(v for v in found if "_SUCCESS" in self._names(self._manifest_path(v)))
+        """Numbers of the manifests, in order."""
+        return sorted(int(n.split("=")[1]) for n in self._names(f"{self.path}/manifests") if n.startswith("version="))
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/manifests/version={version}"
 
-    def manifest(self, version: int | None = None) -> list:
-        """One row for each unit (a bucket's part of a folder), and one with bucket -1 that carries the sequence."""
-        version = version or max(self.versions(), default=0)
-        if version and version not in self._notes:
-            self._notes[version] = self.spark.read.schema(_MANIFEST).parquet(self._manifest_path(version)).collect()
-        return self._notes[version] if version else []
+    def manifest(self, version: int | None = None) -> Manifest:
+        """The units of a version, the newest by default, the highest sequence applied, and when it was written."""
+        version = version or self.version()
+        if not version:
+            return Manifest([], -1, 0.0)
+        if version not in self._notes:
+            system, path = self._hadoop(self._manifest_path(version))
+            stream = system.open(path)
+            try:
+                said = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            finally:
+                stream.close()
+            self._notes[version] = Manifest([Unit(*u) for u in said["units"]], said["sequence"], said["written_at"])
+        return self._notes[version]
+
+    def _write_manifest(self, version: int, manifest: Manifest) -> None:
+        """Beside its place first, then moved there: it is there whole or not at all, and a number is given once."""
+        beside = f"{self.path}/manifests/writing-{uuid.uuid4().hex}"
+        system, path = self._hadoop(beside)
+        stream = system.create(path, True)
+        try:
+            stream.write(bytearray(json.dumps(manifest._asdict()), "utf-8"))
+        finally:
+            stream.close()
+        if self._names(f"{self.path}/manifests").count(f"version={version}") or not system.rename(path, self._hadoop(self._manifest_path(version))[1]):
+            raise RuntimeError(f"{self.path}: version {version} was written by another job")
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -69,13 +109,13 @@ class KeyedTable:
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _units(self) -> list:
-        return [r for r in self.manifest() if r.bucket >= 0]
+    def _units(self) -> list[Unit]:
+        return self.manifest().units
 
     def read(self, units: Iterable | None = None, version: int | None = None) -> DataFrame:
         """The rows of all units, or of those with the given (bucket, folder)."""
         wanted = None if units is None else set(units)
-        paths = [f"{self.path}/data/{r.folder}/bucket={r.bucket}" for r in self.manifest(version) if r.bucket >= 0 and (wanted is None or (r.bucket, r.folder) in wanted)]
+        paths = [f"{self.path}/data/{r.folder}/bucket={r.bucket}" for r in self.manifest(version).units if wanted is None or (r.bucket, r.folder) in wanted]
         return self.spark.read.schema(self._schema()).parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
 
     def _schema(self):
@@ -89,10 +129,10 @@ class KeyedTable:
 
     def top(self) -> int:
         """The largest value of the counter column, from the manifest alone; 0 without rows."""
-        return max((r.top for r in self.manifest() if r.top is not None), default=0)
+        return max((r.top for r in self._units() if r.top is not None), default=0)
 
     def sequence(self) -> int:
-        return max((r.sequence for r in self.manifest() if r.sequence is not None), default=-1)
+        return self.manifest().sequence
 
     def is_applied(self, sequence: int | None) -> bool:
         return sequence is not None and sequence <= self.sequence()
@@ -120,14 +160,17 @@ class KeyedTable:
         words.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w")).select(
             "bucket", F.transform("w", lambda w: w["bits"]).alias("bits")).write.mode("overwrite").parquet(f"{self.path}/filters/folder={folder}")
 
+    def _is_filtered(self, unit: Unit) -> bool:
+        return unit.rows >= self.least_filtered
+
     def possible(self, keys: DataFrame) -> DataFrame:
-        """``bucket, folder`` and the keys in ``keys`` that this unit's filter does not rule out. A bucket's keys meet each filter as one row."""
-        mine = keys.select(*self.keys).distinct()
-        if not self._units():
+        """``bucket, folder`` and the keys in ``keys`` that this unit's filter does not rule out, for units with a filter. A bucket's keys meet each filter as one row."""
+        mine, units = keys.select(*self.keys).distinct(), [u for u in self._units() if self._is_filtered(u)]
+        if not units:
             return mine.select(F.lit(0).alias("bucket"), F.lit("").alias("folder"), *self.keys).limit(0)
-        held = self.spark.createDataFrame([(r.bucket, r.folder) for r in self._units()], "bucket int, folder string")
+        held = self.spark.createDataFrame([(u.bucket, u.folder) for u in units], "bucket int, folder string")
         filters = self.spark.read.schema("bucket int, bits array<bigint>, folder string").option("basePath", f"{self.path}/filters").parquet(
-            *sorted({f"{self.path}/filters/folder={r.folder}" for r in self._units()})).join(F.broadcast(held), ["bucket", "folder"], "left_semi")  # a row for each unit
+            *sorted({f"{self.path}/filters/folder={u.folder}" for u in units})).join(F.broadcast(held), ["bucket", "folder"], "left_semi")  # a row for each unit
         groups = mine.withColumn("bucket", self.bucket_of()).groupBy("bucket").agg(F.collect_list(F.struct(*self.keys)).alias("mine"))
 
         def passes(key: Column) -> Column:
@@ -140,11 +183,18 @@ class KeyedTable:
 
     def may_hold(self, keys: DataFrame) -> list[tuple[int, str]]:
         """Units that may hold a key of ``keys``: some lines of the manifest."""
-        return sorted(tuple(r) for r in self.possible(keys).select("bucket", "folder").distinct().collect())
+        units = self._units()
+        if not units:
+            return []
+        asked = {r[0] for r in keys.select(self.bucket_of().alias("bucket")).distinct().collect()}  # at most ``buckets`` numbers
+        found = {(u.bucket, u.folder) for u in units if u.bucket in asked and not self._is_filtered(u)}
+        if any(u.bucket in asked and self._is_filtered(u) for u in units):
+            found |= {tuple(r) for r in self.possible(keys).select("bucket", "folder").distinct().collect()}
+        return sorted(found)
 
     def known(self, keys: DataFrame) -> DataFrame:
         """Stored rows of the keys in ``keys``: only units that may hold one are read."""
-        return self.read(self.may_hold(keys)).join(keys.select(*[F.col(c).alias(f"_{c}") for c in self.keys]).distinct(), self._same(), "left_semi")
+        return self.read(self.may_hold(keys)).join(keys.select(*self._aside()).distinct(), self._same(), "left_semi")
 
     def _same(self) -> Column:
         out = F.lit(True)
@@ -154,14 +204,14 @@ class KeyedTable:
 
     def absent(self, rows: DataFrame) -> DataFrame:
         """The rows whose key is not stored."""
-        held = self.known(rows).select(*[F.col(c).alias(f"_{c}") for c in self.keys])
+        held = self.known(rows).select(*self._aside())
         return rows.join(held, self._same(), "left_anti")
 
     # -- writing ---------------------------------------------------------------------------------
     def _commit(self, rows: DataFrame, replaced: Iterable[tuple[int, str]], touched: Iterable[int], sequence: int | None) -> None:
         """Add ``rows``, which lie in the touched buckets, as new units; the replaced ones go, whose other rows are among ``rows``."""
         replaced, folder, old = set(replaced), uuid.uuid4().hex, self._units()
-        version = max(self.versions(), default=0) + 1
+        version = self.version() + 1
         many = [b for b, n in Counter(r.bucket for r in old).items() if n >= MOST_UNITS and b in set(touched)]
         more = {(r.bucket, r.folder) for r in old if r.bucket in many} - replaced
         data = f"{self.path}/data/{folder}"
@@ -172,14 +222,11 @@ class KeyedTable:
             written = self.spark.read.schema(whole.schema).parquet(data)
             largest = F.max(self.counter).cast("bigint") if self.counter else F.lit(None).cast("bigint")
             found = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), largest.alias("top")).collect()  # a row for each bucket
-            self._write_filters(written, folder, {r.bucket: r.rows for r in found})
-        last = max(self.sequence(), -1 if sequence is None else sequence)
-        lines = [(r.bucket, r.folder, r.rows, r.top) for r in old if (r.bucket, r.folder) not in replaced | more] + [(r.bucket, folder, r.rows, r.top) for r in found]
-        note = self.spark.createDataFrame([(*x, None) for x in lines] + [(-1, None, None, None, last)], "bucket int, folder string, rows bigint, top bigint, sequence bigint")
-        unfinished = self._manifest_path(version)
-        if self._names(unfinished):  # of a job that was lost while it wrote the manifest
-            self._delete(unfinished)
-        note.coalesce(1).withColumn("written_at", F.current_timestamp()).write.parquet(unfinished)
+            if large := {r.bucket: r.rows for r in found if r.rows >= self.least_filtered}:
+                self._write_filters(written, folder, large)
+        kept = [u for u in old if (u.bucket, u.folder) not in replaced | more]
+        now = Manifest(kept + [Unit(r.bucket, folder, r.rows, r.top) for r in found], max(self.sequence(), -1 if sequence is None else sequence), time.time())
+        self._write_manifest(version, now)
 
     def _settled(self, rows: DataFrame) -> DataFrame:
         """Rows of a batch, written down: they are read several times and must be the same each time."""
@@ -233,22 +280,84 @@ class KeyedTable:
         held = self.may_hold(mine)
         unit = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/bucket=", 1).alias("_unit")
         stored = self.read(held).select("*", unit) if held else self.read([]).withColumn("_unit", F.lit(""))
-        wanted = mine.select(*[F.col(c).alias(f"_{c}") for c in self.keys])
-        stored = self._settled(stored.join(wanted, self._same(), "left_semi"))
-        columns = [c for c in stored.columns if c not in ("_unit", "bucket")]
+        columns = [c for c in stored.columns if c != "_unit"]
+        stored = stored.join(mine.select(*self._aside()), self._same(), "left_semi")
         old = stored.select(*[F.col(c).alias(f"_{c}" if c in self.keys else f"_old_{c}") for c in columns], F.lit(True).alias("_found"))
         both = mine.drop("bucket").join(old, self._same(), "left").withColumn("_known", F.coalesce("_found", F.lit(False))).drop("_found", *[f"_{c}" for c in self.keys])
         mark = F.xxhash64(*[F.col(c) for c in columns]).alias("_mark")
-        new = self._settled(made(both).select(*columns))
-        before, after = stored.select("*", mark), new.select("*", mark)
-        gone = self._settled(before.join(after.select("_mark"), "_mark", "left_anti").select(*self.keys, "_unit"))
-        come = self._settled(after.join(before.select("_mark"), "_mark", "left_anti").select(*columns))
-        replaced = sorted({(r[0], r[1]) for r in gone.select("bucket", "_unit").distinct().collect()})  # some lines of the manifest
+        before = stored.select(*self._aside(), "_unit", mark.alias("_before"))
+        after = made(both).select(*columns, mark, F.lit(True).alias("_new"))
+        # rows that appear, go or get other values, written down once
+        differ = self._settled(after.join(before, self._same(), "full").where(~F.col("_mark").eqNullSafe(F.col("_before"))).withColumns(
+            {c: F.when(F.col("_new"), F.col(c)).otherwise(F.col(f"_{c}")) for c in self.keys}))
+        replaced = sorted({(r[0], r[1]) for r in differ.where("_unit IS NOT NULL").select("bucket", "_unit").distinct().collect()})  # some lines of the manifest
+        come = differ.where("_new").select(*columns, "bucket")
         if replaced:
-            left = gone.select(*[F.col(c).alias(f"_{c}") for c in self.keys])
+            left = differ.where("_unit IS NOT NULL").select(*self._aside())
             come = come.unionByName(self.read(replaced).join(left, self._same(), "left_anti").withColumn("bucket", self.bucket_of()))
         self._add(come, replaced, sequence)
 
+    def _aside(self) -> list[Column]:
+        return [F.col(c).alias(f"_{c}") for c in self.keys]
+
+    def sync(self, rows: DataFrame) -> None:
+        """Make the table hold ``rows``, one for each key, and nothing else; what is there already touches no unit."""
+        if self.schema is None and not self.exists():
+            self.schema = rows.schema
+        if self.exists():
+            here = rows.select(*self._aside())
+            self.delete(self.read().select(*self.keys).join(here, self._same(), "left_anti"))
+        self.upsert(rows, [F.lit(1)])
+
+    # -- changes between versions ----------------------------------------------------------------
+    def version(self) -> int:
+        return max(self.versions(), default=0)
+
+    def changes(self, since: int) -> tuple[DataFrame, DataFrame]:
+        """Rows that may have come or changed after version ``since``, and the keys that went: read from the units only one of both versions has.
+
+        Rows that a merge only carried over may be among the first. ``since`` 0, or a version that was removed, gives all rows and no key.
+        """
+        if since not in self.versions():
+            return self.read(), self.read([]).select(*self.keys)
+        old, new = ({(r.bucket, r.folder) for r in self.manifest(v).units} for v in (since, self.version()))
+        come = self.read(new - old)
+        gone = self.read(old - new, since).select(*self.keys)
+        return come, gone.join(come.select(*self._aside()), self._same(), "left_anti")
+
+    # -- snapshots -------------------------------------------------------------------------------
+    def snapshot(self, folder: str, stamp: str) -> int:
+        """Save the table as of now below ``folder``: units it does not hold yet are copied, in one job, and a manifest of the stamp lists all. The number of copied units."""
+        folder, path = folder.rstrip("/"), f"{folder.rstrip('/')}/manifest={stamp}"
+        if "_SUCCESS" in self._names(path):
+            raise ValueError(f"{path} is there already")
+        units = {(r.bucket, r.folder) for r in self._units()}
+        home = self._homes(folder)
+        missing = sorted(units - set(home))
+        if missing:
+            place = F.col("_metadata.file_path")
+            rows = self.read(missing).select("*", F.regexp_extract(place, "/data/([^/]+)/bucket=", 1).alias("unit_folder"), F.regexp_extract(place, "/bucket=([0-9]+)/", 1).alias("unit_bucket"))
+            rows.write.mode("overwrite").partitionBy("unit_folder", "unit_bucket").parquet(f"{folder}/units={stamp}")
+        home |= {unit: stamp for unit in missing}
+        note = self.spark.createDataFrame([(r.bucket, r.folder, r.rows, home[r.bucket, r.folder]) for r in self._units()], "bucket int, folder string, rows bigint, home string")
+        note.coalesce(1).write.mode("overwrite").parquet(path)
+        return len(missing)
+
+    def _homes(self, folder: str) -> dict[tuple[int, str], str]:
+        """Which snapshot holds the copy of each saved unit."""
+        out = {}
+        for name in self._names(folder):
+            if name.startswith("manifest=") and "_SUCCESS" in self._names(f"{folder}/{name}"):
+                out |= {(r.bucket, r.folder): r.home for r in self.spark.read.schema("bucket int, folder string, home string").parquet(f"{folder}/{name}").collect()}
+        return out
+
+    def restored(self, folder: str, stamp: str) -> DataFrame:
+        """The table as of a snapshot."""
+        folder = folder.rstrip("/")
+        units = self.spark.read.schema("bucket int, folder string, home string").parquet(f"{folder}/manifest={stamp}").collect()
+        paths = [f"{folder}/units={r.home}/unit_folder={r.folder}/unit_bucket={r.bucket}" for r in units]
+        return self.spark.read.schema(self._schema()).parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
+
     # -- old files -------------------------------------------------------------------------------
     def _delete(self, path: str) -> None:
         system, folder = self._hadoop(path)
@@ -259,11 +368,9 @@ class KeyedTable:
 
         Folders without a manifest are of lost jobs, or of one that is writing: they go when they are older than the grace period.
         """
-        versions = self.versions()
-        now = self.spark.range(1).select(F.unix_micros(F.current_timestamp())).head()[0] / 1e6
-        written = {v: max((r.written_at.timestamp() for r in self.manifest(v)), default=0.0) for v in versions}
-        old = [v for v, following in zip(versions, versions[1:]) if written[following] <= now - grace_seconds]
-        kept = {(r.folder, r.bucket) for v in versions if v not in old for r in self.manifest(v) if r.bucket >= 0}
+        versions, now = self.versions(), time.time()
+        old = [v for v, following in zip(versions, versions[1:]) if self.manifest(following).written_at <= now - grace_seconds]
+        kept = {(u.folder, u.bucket) for v in versions if v not in old for u in self.manifest(v).units}
         removed = 0
         for v in old:
             self._delete(self._manifest_path(v))

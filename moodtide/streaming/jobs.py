@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodtide.operators import merge, monitoring
-from moodtide.operators.dedup import absent_from, earliest, latest
+from moodtide.operators.dedup import absent_from, latest
 from moodtide.plans import staging, warehouse
+from moodtide.plans.ledger import FactLedger
 from moodtide.session import shared_dir
+from moodtide.sources.keyed import KeyedTable
+from moodtide.streaming.folded import FoldedLog
 
 
 def _run(stream: DataFrame, each_batch, checkpoint: str, mode: str = "append") -> None:
@@ -27,59 +30,86 @@ def _batch_folder(path: str, batch_id: int) -> str:
 
 
 # -- staging ---------------------------------------------------------------------------------------
-def publish_staging(raw: DataFrame, path: str, checkpoint: str) -> None:
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row a URL: the latest delivery, with the smallest id of all. What came out once can go in again."""
+    return latest(rows, ["url"], ["ingested_at", "raw_id", "_mark"], [F.min("first_raw_id").alias("_first")]).drop("first_raw_id").withColumnRenamed("_first", "first_raw_id")
+
+
+def staging_log(spark: SparkSession, path: str, fan: int = 4) -> FoldedLog:
+    return FoldedLog(spark, path, _newest, fan)
+
+
+def publish_staging(raw: DataFrame, path: str, checkpoint: str, fan: int = 4) -> None:
     """Append the parsed deliveries of each batch to the staging log, already reduced to one row per URL.
 
-    The log is append-only: a late re-delivery does not force old files to be rewritten. ``current_staging`` picks the
-    winner when reading, and ``compact`` folds the log now and then.
+    A late re-delivery forces no old file to be rewritten. After each batch the log is folded as far as its tiers ask for; ``current_staging`` folds what is left.
     """
+    log = staging_log(raw.sparkSession, path, fan)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = staging.extract_articles(batch).where("url IS NOT NULL")
-        reduced = latest(rows, ["url"], ["ingested_at", "raw_id"], [F.min("raw_id").alias("first_raw_id")])
-        reduced.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        rows = staging.extract_articles(batch.withColumn("_mark", F.xxhash64("raw_payload")), keep=["_mark"]).where("url IS NOT NULL")
+        log.write(rows.withColumn("first_raw_id", F.col("raw_id")), batch_id)
+        log.compact()
 
     _run(raw, write, checkpoint)
 
 
 def current_staging(spark: SparkSession, path: str) -> DataFrame:
     """Latest version per URL with its stable id; equals the batch staging of all raw rows."""
-    log = spark.read.parquet(path).drop("batch_id")
-    return latest(log, ["url"], ["ingested_at", "raw_id"], [F.min("first_raw_id").alias("article_id")])
+    return staging_log(spark, path).current().drop("_mark").withColumnRenamed("first_raw_id", "article_id")
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the folded log to a new folder; the next reader uses that one."""
-    current_staging(spark, path).withColumn("first_raw_id", F.col("article_id")).drop("article_id").write.mode(
-        "overwrite").parquet(_batch_folder(target, 0))
+# -- hourly counts -----------------------------------------------------------------------------------
+def _added(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("hour", "source_name").agg(F.sum("new_articles").alias("new_articles"))
 
 
-# -- hourly counts -----------------------------------------------------------------------------------
 def hourly_ingest(raw: DataFrame, path: str, checkpoint: str) -> None:
     """Rows per source and hour of each batch. No state and no horizon: a row of any age counts in the batch that brings it."""
+    log = FoldedLog(raw.sparkSession, path, _added)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        monitoring.hourly_ingest(batch).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        log.write(monitoring.hourly_ingest(batch), batch_id)
+        log.compact()
 
     _run(raw, write, checkpoint)
 
 
 def current_hourly(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy("hour", "source_name").agg(F.sum("new_articles").alias("new_articles"))
+    return FoldedLog(spark, path, _added).current()
 
 
 # -- re-deliveries -----------------------------------------------------------------------------------
 def first_deliveries(raw: DataFrame, path: str, checkpoint: str) -> None:
-    """First delivery of every URL, however old it is: a batch is reduced to one row a URL and loses the URLs that are stored."""
+    """First delivery of every URL, however old it is: a batch is reduced to one row a URL and loses the URLs that are stored.
+
+    Stored URLs are asked by their filters, so a batch of new ones reads next to none of them and adds its own rows only.
+    """
     urls = raw.select(F.get_json_object("raw_payload", "$.url").alias("url"), "source_name", "raw_id",
                       F.col("ingested_at").cast("timestamp").alias("ingested_at")).where("url IS NOT NULL")
+    table = first_seen(raw.sparkSession, path)
+    _run(urls, lambda batch, batch_id: table.insert_absent(batch, ["ingested_at", "raw_id"], sequence=batch_id), checkpoint)
+
+
+def first_seen(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, ["url"], schema="url string, source_name string, raw_id bigint, ingested_at timestamp")
+
+
+# -- the fact from changes -------------------------------------------------------------------------------
+def post_changes(changes: DataFrame, path: str, checkpoint: str) -> None:
+    """Bring the ledger of the daily fact up to date with a stream of changes.
+
+    ``change`` is ``article`` (source_id, published_at, push_count), ``score`` (score) or ``withdrawn``, for an ``article_id``; of several of one kind in a batch the last ``at``
+    counts. A batch's number is the ledger's sequence, so a batch that comes again after a loss is put in once.
+    """
+    book = FactLedger(changes.sparkSession, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = earliest(batch, ["url"], ["ingested_at", "raw_id"])
-        if batch_id > 0:
-            stored = batch.sparkSession.read.schema("url string, batch_id bigint").option("basePath", path).parquet(path)
-            new = absent_from(new, stored.where(F.col("batch_id") < batch_id), ["url"])
-        new.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        one = latest(batch, ["article_id", "change"], ["at", F.xxhash64(*batch.columns)])
+        of = lambda kind, *columns: one.where(F.col("change") == kind).select("article_id", *columns)
+        book.apply(batch_id, of("article", "source_id", "published_at", "push_count"), of("score", "score"), of("withdrawn"))
 
-    _run(urls, write, checkpoint)
+    _run(changes, write, checkpoint)
 
 
 # -- daily fact ----------------------------------------------------------------------------------------
