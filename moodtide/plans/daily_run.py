@@ -104,9 +104,8 @@ def lake_steps(lake: Lake, landed: DataFrame, now: datetime, scorer: learning.Sc
             rows = [(i, name, s["url"], s.get("has_push_count", False)) for i, (name, s) in enumerate(config.ALL_SOURCES.items(), 1)]
             lake.replace("sources", config.constant_frame(
                 spark, rows, "source_id int, source_name string, url string, has_push_count boolean"))
-        for name, (_, _, columns) in KEYED.items():
-            if not lake.exists(name):
-                lake.replace(name, spark.createDataFrame([], columns))
+        for name in KEYED:
+            lake.table(name).create()
 
     def extract() -> None:
         if price_history is not None:

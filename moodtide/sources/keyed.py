@@ -81,30 +81,40 @@ class KeyedTable:
         if not version:
             return Manifest([], -1, 0.0)
         if version not in self._notes:
-            system, path = self._hadoop(self._manifest_path(version))
-            stream = system.open(path)
-            try:
-                said = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
+            said = self._read_note(self._manifest_path(version))
             self._notes[version] = Manifest([Unit(*u) for u in said["units"]], said["sequence"], said["written_at"])
         return self._notes[version]
 
-    def _write_manifest(self, version: int, manifest: Manifest) -> None:
-        """Beside its place first, then moved there: it is there whole or not at all, and a number is given once."""
-        beside = f"{self.path}/manifests/writing-{uuid.uuid4().hex}"
-        system, path = self._hadoop(beside)
-        stream = system.create(path, True)
+    def _read_note(self, path: str) -> dict:
+        system, place = self._hadoop(path)
+        stream = system.open(place)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _write_note(self, folder: str, name: str, said: dict) -> bool:
+        """Beside its place first, then moved there: it is there whole or not at all. False if the name is taken."""
+        system, beside = self._hadoop(f"{folder}/writing-{uuid.uuid4().hex}")
+        stream = system.create(beside, True)
         try:
-            stream.write(bytearray(json.dumps(manifest._asdict()), "utf-8"))
+            stream.write(bytearray(json.dumps(said), "utf-8"))
         finally:
             stream.close()
-        if self._names(f"{self.path}/manifests").count(f"version={version}") or not system.rename(path, self._hadoop(self._manifest_path(version))[1]):
+        return name not in self._names(folder) and system.rename(beside, self._hadoop(f"{folder}/{name}")[1])
+
+    def _write_manifest(self, version: int, manifest: Manifest) -> None:
+        if not self._write_note(f"{self.path}/manifests", f"version={version}", manifest._asdict()):
             raise RuntimeError(f"{self.path}: version {version} was written by another job")
 
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def create(self) -> None:
+        """An empty table, if there is none; it needs a schema."""
+        if not self.exists():
+            self._write_manifest(1, Manifest([], -1, time.time()))
+
     # -- reading ---------------------------------------------------------------------------------
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -212,6 +222,9 @@ class KeyedTable:
         """Add ``rows``, which lie in the touched buckets, as new units; the replaced ones go, whose other rows are among ``rows``."""
         replaced, folder, old = set(replaced), uuid.uuid4().hex, self._units()
         version = self.version() + 1
+        sequence = max(self.sequence(), -1 if sequence is None else sequence)
+        if not set(touched) and not replaced:
+            return self._write_manifest(version, Manifest(old, sequence, time.time()))
         many = [b for b, n in Counter(r.bucket for r in old).items() if n >= MOST_UNITS and b in set(touched)]
         more = {(r.bucket, r.folder) for r in old if r.bucket in many} - replaced
         data = f"{self.path}/data/{folder}"
@@ -225,8 +238,7 @@ class KeyedTable:
             if large := {r.bucket: r.rows for r in found if r.rows >= self.least_filtered}:
                 self._write_filters(written, folder, large)
         kept = [u for u in old if (u.bucket, u.folder) not in replaced | more]
-        now = Manifest(kept + [Unit(r.bucket, folder, r.rows, r.top) for r in found], max(self.sequence(), -1 if sequence is None else sequence), time.time())
-        self._write_manifest(version, now)
+        self._write_manifest(version, Manifest(kept + [Unit(r.bucket, folder, r.rows, r.top) for r in found], sequence, time.time()))
 
     def _settled(self, rows: DataFrame) -> DataFrame:
         """Rows of a batch, written down: they are read several times and must be the same each time."""
@@ -277,6 +289,8 @@ class KeyedTable:
         if self.is_applied(sequence):
             return
         mine = self._settled(updates)
+        if mine.isEmpty():
+            return self._add(mine, [], sequence)
         held = self.may_hold(mine)
         unit = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/bucket=", 1).alias("_unit")
         stored = self.read(held).select("*", unit) if held else self.read([]).withColumn("_unit", F.lit(""))
@@ -327,35 +341,24 @@ class KeyedTable:
 
     # -- snapshots -------------------------------------------------------------------------------
     def snapshot(self, folder: str, stamp: str) -> int:
-        """Save the table as of now below ``folder``: units it does not hold yet are copied, in one job, and a manifest of the stamp lists all. The number of copied units."""
-        folder, path = folder.rstrip("/"), f"{folder.rstrip('/')}/manifest={stamp}"
-        if "_SUCCESS" in self._names(path):
-            raise ValueError(f"{path} is there already")
-        units = {(r.bucket, r.folder) for r in self._units()}
-        home = self._homes(folder)
-        missing = sorted(units - set(home))
+        """Save the table as of now below ``folder``: units it does not hold yet are copied, in one job, and a note of the stamp lists all. The number of copied units."""
+        folder = folder.rstrip("/")
+        if f"snapshot={stamp}" in self._names(folder):
+            raise ValueError(f"{folder}: there is a snapshot {stamp} already")
+        home = {(b, f): at for name in self._names(folder) if name.startswith("snapshot=") for b, f, at in self._read_note(f"{folder}/{name}")["units"]}
+        missing = sorted({(u.bucket, u.folder) for u in self._units()} - set(home))
         if missing:
             place = F.col("_metadata.file_path")
             rows = self.read(missing).select("*", F.regexp_extract(place, "/data/([^/]+)/bucket=", 1).alias("unit_folder"), F.regexp_extract(place, "/bucket=([0-9]+)/", 1).alias("unit_bucket"))
             rows.write.mode("overwrite").partitionBy("unit_folder", "unit_bucket").parquet(f"{folder}/units={stamp}")
         home |= {unit: stamp for unit in missing}
-        note = self.spark.createDataFrame([(r.bucket, r.folder, r.rows, home[r.bucket, r.folder]) for r in self._units()], "bucket int, folder string, rows bigint, home string")
-        note.coalesce(1).write.mode("overwrite").parquet(path)
+        self._write_note(folder, f"snapshot={stamp}", {"units": [(u.bucket, u.folder, home[u.bucket, u.folder]) for u in self._units()]})
         return len(missing)
 
-    def _homes(self, folder: str) -> dict[tuple[int, str], str]:
-        """Which snapshot holds the copy of each saved unit."""
-        out = {}
-        for name in self._names(folder):
-            if name.startswith("manifest=") and "_SUCCESS" in self._names(f"{folder}/{name}"):
-                out |= {(r.bucket, r.folder): r.home for r in self.spark.read.schema("bucket int, folder string, home string").parquet(f"{folder}/{name}").collect()}
-        return out
-
     def restored(self, folder: str, stamp: str) -> DataFrame:
         """The table as of a snapshot."""
         folder = folder.rstrip("/")
-        units = self.spark.read.schema("bucket int, folder string, home string").parquet(f"{folder}/manifest={stamp}").collect()
-        paths = [f"{folder}/units={r.home}/unit_folder={r.folder}/unit_bucket={r.bucket}" for r in units]
+        paths = [f"{folder}/units={at}/unit_folder={f}/unit_bucket={b}" for b, f, at in self._read_note(f"{folder}/snapshot={stamp}")["units"]]
         return self.spark.read.schema(self._schema()).parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
 
     # -- old files -------------------------------------------------------------------------------

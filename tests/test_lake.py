@@ -137,23 +137,23 @@ def test_run_twice(spark, landed, tmp_path):
     assert {r["step"] for r in monitoring.step_times(log).collect()} == set(again) and monitoring.failure_ratio(log).head()["failures"] == 0
 
 
-@pytest.mark.parametrize("where", ["schema", "extract", "transform", "score", "dw_etl"])
+@pytest.mark.parametrize("where", ["extract", "score", "dw_etl"])
 def test_a_run_that_is_lost_in_a_step_ends_like_a_clean_one(spark, tmp_path, monkeypatch, where):
     """The manifest of some table cannot be written in the middle of the step; the next run goes on from there."""
     bodies = [b for b in BODIES if b[0] in ("ptt", "reddit")]
     if "clean" not in CLEAN:
-        lake = Lake(spark, str(tmp_path / "clean"), buckets=2)
+        lake = Lake(spark, str(tmp_path / "clean"), buckets=1)
         steps = daily_run.lake_steps(lake, as_landed(spark, bodies), NOW, one_score)
         add_prices(spark, lake)
-        daily_run.run({n: steps[n] for n in ("schema", "extract", "transform", "score", "dw_etl")})
+        daily_run.run({n: steps[n] for n in ("schema", "extract", "score", "dw_etl")})
         CLEAN["clean"] = content(lake)
-    lake = Lake(spark, str(tmp_path / "lost"), buckets=2)
+    lake = Lake(spark, str(tmp_path / "lost"), buckets=1)
     add_prices(spark, lake)
     for attempt in range(2):
         steps = daily_run.lake_steps(lake, as_landed(spark, bodies), NOW + timedelta(hours=attempt), one_score)
         if attempt == 0:
             step, commit = steps[where], KeyedTable._commit
-            last = {"schema": "comments", "extract": "articles", "transform": "articles", "score": "sentiment_scores", "dw_etl": "totals"}[where]
+            last = {"extract": "articles", "score": "sentiment_scores", "dw_etl": "totals"}[where]
 
             def lost(self, *args, last=last, commit=commit):
                 if self.path.endswith(last):
@@ -167,13 +167,13 @@ def test_a_run_that_is_lost_in_a_step_ends_like_a_clean_one(spark, tmp_path, mon
                     raise RuntimeError("lost")
 
             steps = {n: breaking if n == where else f for n, f in steps.items()}
-            order = ("schema", "extract", "transform", "score", "dw_etl")
+            order = ("schema", "extract", "score", "dw_etl")
             for n in order[:order.index(where)]:
                 steps[n]()
             with pytest.raises(RuntimeError, match="lost"):
                 steps[where]()
         else:
-            daily_run.run({n: steps[n] for n in ("schema", "extract", "transform", "score", "dw_etl")})
+            daily_run.run({n: steps[n] for n in ("schema", "extract", "score", "dw_etl")})
     assert content(lake) == CLEAN["clean"]
 
 
@@ -203,7 +203,7 @@ def test_price_load(spark, tmp_path):
     table = Lake(spark, str(tmp_path), buckets=1).table("prices")
     day = lambda i, close: ("VOO", date(2024, 1, i), close)
     load = lambda rows: daily_run.load_prices(table, spark.createDataFrame(rows, "symbol string, trade_date date, close double"))
-    table.sync(spark.createDataFrame([], table.schema))
+    table.create()
     load([day(2, 10.0), day(3, 11.5)])
     load([day(3, 11.0), day(4, 10.5)])
     assert [(r["trade_date"].day, float(r["close"]), r["change"] and float(r["change"])) for r in table.read().orderBy("trade_date").collect()] == [
@@ -212,7 +212,7 @@ def test_price_load(spark, tmp_path):
 
 def test_prediction_step(spark, landed, tmp_path):
     """Half a year of posts and prices: one fold per market, one history row each; without prices nothing is predicted."""
-    lake = Lake(spark, str(tmp_path), buckets=2)
+    lake = Lake(spark, str(tmp_path), buckets=1)
     steps = daily_run.lake_steps(lake, landed, NOW)
     steps["schema"]()
     days = spark.range(180).select("id", F.date_add(F.lit("2023-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
@@ -235,7 +235,7 @@ def test_prediction_step(spark, landed, tmp_path):
 
 
 def test_missing_bodies_abort_the_run(spark, landed, tmp_path):
-    lake = Lake(spark, str(tmp_path), buckets=2)
+    lake = Lake(spark, str(tmp_path), buckets=1)
     steps = daily_run.lake_steps(lake, landed, NOW)
     with pytest.raises(daily_run.RunAborted, match="stock_prices"):
         daily_run.run({k: steps[k] for k in ("schema", "extract", "transform", "dw_etl")})
