@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from moodtide.llm.flat import pieces, slices, spread, text_buffer
 
@@ -26,16 +27,33 @@ class Coder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # for the pieces; texts that spell an added token out are encoded whole by the plain one
+        for own in (self.tokenizer, self.plain):
+            own.no_truncation()
+            own.no_padding()
+        self.added = sorted({(t.content, t.normalized) for t in self.plain.get_added_tokens_decoder().values()})
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each text closed by ``end``, and the offsets of the texts."""
+        texts = pc.fill_null(texts, "")
+        odd = np.zeros(len(texts), bool)
+        for content, in_any_case in self.added:
+            odd |= pc.match_substring(texts, content, ignore_case=in_any_case).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._of_pieces(texts, end)
+        flat, offsets = self._of_pieces(pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts), end)
+        whole, parts, sizes = {i: self.plain.encode(texts[i].as_py(), add_special_tokens=False).ids for i in np.flatnonzero(odd).tolist()}, [], np.diff(offsets)
+        last = 0
+        for i, ids in whole.items():  # each stands before the end id that its row has already
+            parts += [flat[last:offsets[i]], np.array(ids, self.dtype)]
+            last, sizes[i] = offsets[i], sizes[i] + len(ids)
+        return np.concatenate([*parts, flat[last:]]), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _of_pieces(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_buffer(texts)
         codes, distinct, firsts = pieces(data, offsets)
         spelled = distinct.to_pylist()

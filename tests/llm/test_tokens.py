@@ -5,17 +5,17 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from moodtide.llm import best_fit, token_files
+from moodtide.llm import best_fit, token_files, tokens
 from moodtide.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY
 from tests.llm.conftest import ODD_TEXTS
 
 
 def encode(path, text, end):
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     return own.encode(text or "", add_special_tokens=False).ids + [end]
 
 
@@ -138,3 +138,13 @@ def test_reduction_keeps_an_optimum_and_the_plan_places_all():
 def test_the_plan_does_not_depend_on_the_numbers_of_documents():
     counts = {s: 10**9 + s for s in range(1, 1025)}
     assert len(best_fit.plan(counts, 1024)) < 5000
+
+
+@pytest.mark.parametrize("path", [WORD_VOCABULARY, BYTE_VOCABULARY])
+def test_texts_that_spell_added_tokens(path):
+    """The library's plain call, for texts with every added token alone, inside words, repeated, in capitals and cut short."""
+    added = sorted({t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()})
+    forms = [f for t in added for f in (t, f"a {t} b", f"a{t}b", t * 3, f" {t}\n{t} ", t.upper(), t[:-1], t[1:], f"x {t[:5]} {t[5:]}")]
+    texts = ["plain", None, *forms, "", "more words, and a stop.", *forms[:2]]
+    flat, offsets = tokens.Coder(path).ids(pa.array(texts, pa.string()), 7)
+    assert [flat[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [encode(path, t, 7) for t in texts]
