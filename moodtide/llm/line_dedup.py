@@ -32,6 +32,8 @@ from moodtide.session import shared_dir
 LEAST_WORDS = 5
 #: Bits of the bitmap and of one of its pieces. A fuller bitmap lets more lines pass, and no fewer.
 BITMAP_BITS, PIECE_BITS = 1 << 27, 1 << 17
+#: Words of 64 bits of the map of texts that lose a line, at most.
+MAP_WORDS = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_BASES = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x27D4EB2F165667C5))
@@ -260,10 +262,21 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "d
     bad = again.join(near, ["h", "g", "n"], "full")
     here = F.struct("id", "mark", "line")
     gone = lines.drop("halves").join(bad, ["h", "g", "n"]).filter(F.col("near").isNotNull() | (F.col("first") < here))
-    removed = gone.groupBy("id", "mark").agg(F.collect_set("line").alias("_gone_"))
+    gone.groupBy("id", "mark").agg(F.collect_set("line").alias("_gone_")).write.parquet(f"{folder}/removed")
+    removed = spark.read.parquet(f"{folder}/removed")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_")
     keyed = docs.select(row, F.col(doc_id).cast("bigint").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
-    both = keyed.alias("d").join(removed.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.mark") == F.col("r.mark")), "left")
+    # a map of the texts that lose a line, of a bounded size, is broadcast: the others go on without a shuffle, and a fuller map only lets more of them meet the lines
+    words = min(MAP_WORDS, max(64, 1 << (removed.count() // 4).bit_length()))
+    word, bit = (lambda c: F.pmod(F.shiftrightunsigned(c, 6), F.lit(words)).cast("int")), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("mark").bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
+    some = removed.select(word(F.col("mark")).alias("word"), bit.alias("bits")).unionByName(spark.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bits")))
+    table = some.groupBy("word").agg(F.bit_or("bits").alias("bits")).groupBy(F.lit(1).alias("one")).agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("map"))
+    table.write.parquet(f"{folder}/map")
+    told = keyed.withColumn("one", F.lit(1)).join(F.broadcast(spark.read.parquet(f"{folder}/map")), "one", "left")
+    met = F.coalesce(F.get("map", word(F.col("mark"))).bitwiseAND(bit) != 0, F.lit(False))
+    d, r = told.where(met).select("_row_", "id", "mark").alias("d"), removed.alias("r")
+    both = d.join(r.hint("merge"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.mark") == F.col("r.mark")), "left").select("_row_", "_gone_")
+    both = both.unionByName(told.where(~met).select("_row_", F.lit(None).cast("array<int>").alias("_gone_")))
     both = both.select("_row_.*", "_gone_")
     column = docs.columns.index(text)
 
