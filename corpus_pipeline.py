@@ -3,7 +3,7 @@
 1. ``toxicity``: documents that the string-kernel machine scores 0.5 or more go. It learns from all ``labels``' training rows.
 2. ``line_dedup``: lines that repeat an earlier line, up to one edited word, are taken out of the texts; no document goes.
 3. ``near_dedup``: of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, directly or by others, the one of the smallest id
-   stays.
+   stays. SimHash fingerprints within three bits propose links, whole sets verify them; an exact join of the shingles finds the rest.
 4. ``mix``: documents are taken as often as the budgets of the domain, language and source tree say.
 5. ``packing``: the documents' token pieces with their places in sequences of 1024 ids.
 
@@ -51,8 +51,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The choice is made on narrow rows. Only repeated rows are aggregated whole, inside their partitions first.
     """
-    folder = shared_dir(spark, "chosen")
-    found = shingle_join.near_duplicates(docs, words=5)
+    folder, marked = shared_dir(spark, "chosen"), shared_dir(spark, "fingerprints")
+    simhash.fingerprints(docs, words=5).select("mark", "fp").write.parquet(marked)
+    marks = spark.read.parquet(marked).distinct()
+    near = simhash.links(marks.select("fp").distinct(), radius=3)
+    found = shingle_join.near_duplicates(docs, words=5, fingerprints=marks, near=near)
     best = found.groupBy("root", "id", "mark").agg(F.count(F.lit(1)).alias("rows")).groupBy("root").agg(F.min(F.struct("id", "mark", "rows")).alias("c"))
     best.select("c.*").write.parquet(folder)
     chosen = spark.read.parquet(folder)

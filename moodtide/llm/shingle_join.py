@@ -5,6 +5,9 @@ only these, a fifth of its shingles, and texts that meet at one are compared: by
 then whole. Shingles that a sample of the texts holds often come last in the order: a common
 passage then brings few texts together. The order decides the work, never the result.
 
+Links that a cheaper method proposes, those of close fingerprints, are verified first, by the same bits and whole sets; what they connect needs no further comparison.
+The shingles then find what the proposal leaves out, so it decides the work, never the result.
+
 Texts that meet at a shingle are compared with the first of them, then with the next few, then with all others; those that are connected by then are not
 compared again. So a group of near copies costs its size and not the square of it. Equal sets are one node from the start.
 
@@ -257,8 +260,22 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = COMMON) -> DataFrame:
-    """``id, mark, root`` of every row; rows share a root when chains of similar texts connect them."""
+def _proposed(nodes: DataFrame, fingerprints: DataFrame, near: DataFrame) -> DataFrame:
+    """``a, b``: nodes of one fingerprint, each with the first of them, and the first nodes of linked fingerprints."""
+    held = fingerprints.select("mark", "fp").distinct().join(nodes.select("mark", "node").distinct(), "mark").select("fp", "node").distinct()
+    first = held.groupBy("fp").agg(F.min("node").alias("first"))
+    same = held.join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    one, two = (first.select(F.col("fp").alias(e), F.col("first").alias(f"node_{e}")) for e in "ab")
+    across = near.join(one, "a").join(two, "b").select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    return same.unionByName(across).where("a <> b").distinct()
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = COMMON,
+                    fingerprints: DataFrame | None = None, near: DataFrame | None = None) -> DataFrame:
+    """``id, mark, root`` of every row; rows share a root when chains of similar texts connect them.
+
+    ``fingerprints`` (mark, fp) and ``near`` (a, b: linked fingerprints) propose links that are verified before the shingles are asked.
+    """
     spark = docs.sparkSession
     folder = shared_dir(spark, "shingles")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_mark(text).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -272,26 +289,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", tex
     nodes.select(F.explode("keys").alias("key"), "node", "n").repartition(spread(handed), "key").mapInArrow(_met, _MET).write.parquet(f"{folder}/met")
     met = spark.read.schema(_MET).parquet(f"{folder}/met")
     size, widest = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
-    roots = None
     if size:
         alone = met.select("node").distinct()
         nodes.filter("bits IS NOT NULL").join(alone, "node", "left_semi").groupBy("node").agg(F.min("mark").alias("mark"), F.min("n").alias("n"), F.min("bits").alias("bits"), *[F.min(c).alias(c) for c in _FOLDS]).write.parquet(f"{folder}/sketches")
         sketches = spark.read.parquet(f"{folder}/sketches")
         met.join(sketches.select("node", *_FOLDS).hint("merge"), "node").select("key", "node", "n", *_FOLDS).write.parquet(f"{folder}/folded")
         met = spark.read.parquet(f"{folder}/folded")
-    done, links = 0, []
-    for step, leaders in enumerate((*LEADERS, None)):
-        if not size or widest <= done + 1:
-            break
-        rooted = met.select("key", "node", "n", F.col("node").alias("root"), *_FOLDS) if roots is None else met.join(roots.withColumnRenamed("root", "r"), "node", "left").select("key", "node", "n", F.coalesce("r", "node").alias("root"), *_FOLDS)
-        pairs = rooted.repartition(spread(size), "key").mapInArrow(_candidates(done, leaders), "a bigint, b bigint").distinct()
-        done = leaders
+    links: list[str] = []
+
+    def verified(pairs: DataFrame, step: str) -> DataFrame | None:
+        """Roots of all links so far and those of the pairs that hold; None when no pair is possible. A node that meets no other at a shingle has no similar one."""
         one, two = (sketches.select(F.col("node").alias(e), F.col("n").alias(f"n_{e}"), F.col("bits").alias(f"bits_{e}")) for e in "ab")
         pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "bits_a", "bits_b", (F.col("n_a") + F.col("n_b")).alias("n"))
         pairs.mapInArrow(_possible, "a bigint, b bigint").write.parquet(f"{folder}/pairs/{step}")
         pairs = spark.read.schema("a bigint, b bigint").parquet(f"{folder}/pairs/{step}")
         if pairs.isEmpty():
-            continue
+            return None
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sketches.select("node", "mark").join(ends, "node", "left_semi").write.parquet(f"{folder}/wanted/{step}")
         found = _sets_of(rows, words, spark.read.parquet(f"{folder}/wanted/{step}"), f"{folder}/sets/{step}")
@@ -299,7 +312,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, doc_id: str = "doc_id", tex
         pairs.join(one, "a").join(two, "b").select("a", "b", "shingles_a", "shingles_b").mapInArrow(_verified, "a bigint, b bigint").write.parquet(f"{folder}/links/{step}")
         links.append(f"{folder}/links/{step}")
         components(spark.read.schema("a bigint, b bigint").parquet(*links)).write.parquet(f"{folder}/roots/{step}")
-        roots = spark.read.schema("node bigint, root bigint").parquet(f"{folder}/roots/{step}")
+        return spark.read.schema("node bigint, root bigint").parquet(f"{folder}/roots/{step}")
+
+    roots = verified(_proposed(nodes, fingerprints, near), "near") if size and near is not None else None
+    done = 0
+    for step, leaders in enumerate((*LEADERS, None)):
+        if not size or widest <= done + 1:
+            break
+        rooted = met.select("key", "node", "n", F.col("node").alias("root"), *_FOLDS) if roots is None else met.join(roots.withColumnRenamed("root", "r"), "node", "left").select("key", "node", "n", F.coalesce("r", "node").alias("root"), *_FOLDS)
+        pairs = rooted.repartition(spread(size), "key").mapInArrow(_candidates(done, leaders), "a bigint, b bigint").distinct()
+        done = leaders
+        now = verified(pairs, str(step))
+        roots = roots if now is None else now
     if roots is None:
         return nodes.select("id", "mark", F.col("node").alias("root"))
     return nodes.join(roots, "node", "left").select("id", "mark", F.coalesce("root", "node").alias("root"))
