@@ -2,40 +2,125 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodtide.functions.once import computed_once
 from moodtide.session import shared_dir
 
 # --- fixed values ---------------------------------------------------------------
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS, TOP_TERMS, MAX_DOCS = 2000, 20, 200
 # --------------------------------------------------------------------------------
+#: Characters of the texts of a block, about.
+BLOCK_CHARS = 8 << 20
 
 
 def top_keywords(docs: DataFrame, doc_id: str, text: str, top: int = TOP_TERMS, max_terms: int | None = None) -> DataFrame:
     """Terms with the largest sum of their length-normalised weights; idf = ln((1 + n) / (1 + df)) + 1.
 
-    The vocabulary is all terms, or with ``max_terms`` that many of the most frequent ones (ties by term). Terms are counted by document once and written;
-    totals, document numbers and weights come from that table.
+    The vocabulary is all terms, or with ``max_terms`` that many of the most frequent ones (ties by term).
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
     pairs = F.when(F.size("w") > 1, F.transform(
         F.sequence(F.lit(1), F.size("w") - 1),
         lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))).otherwise(
         F.array().cast("array<string>"))
+    found = computed_once(docs, F.col(doc_id).alias("doc"), words.alias("w"))  # else a filter below would look for the words once for each pair
+    terms = computed_once(found, "doc", F.concat("w", pairs).alias("terms"))
+    scores = _of_all(docs, terms, text) if max_terms is None else _of_most(docs, terms, max_terms)
+    if max_terms is None:
+        folder = shared_dir(docs.sparkSession, "scores")
+        scores.write.parquet(folder)
+        scores = docs.sparkSession.read.parquet(folder)
+        rounded = F.round("score", 9)
+        least = scores.select(rounded.alias("r")).orderBy(F.desc("r")).limit(top).agg(F.min("r")).scalar()
+        best = scores.where(rounded >= least)  # the first ones and what ties with the last
+        named = terms.select(F.explode("terms").alias("term")).select(F.xxhash64("term").alias("h"), "term").join(best.select("h"), "h", "left_semi").distinct()
+        scores = best.join(named, "h").select("term", "score")
+    return (scores.orderBy(F.desc(F.round("score", 9)), F.desc("term")).limit(top)
+            .select(F.col("term").alias("Word"), F.round("score", 3).alias("Score")))
+
+
+def _of_most(docs: DataFrame, terms: DataFrame, max_terms: int) -> DataFrame:
+    """``term, score`` over a vocabulary that is small. Terms are counted by document once and written."""
     spark = docs.sparkSession
     folder = shared_dir(spark, "terms")
-    (docs.select(F.col(doc_id).alias("doc"), words.alias("w")).select("doc", F.explode(F.concat("w", pairs)).alias("term"))
-     .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(folder))
+    terms.select("doc", F.explode("terms").alias("term")).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(folder)
     tf = spark.read.parquet(folder)
-    found_in = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    if max_terms is not None:
-        found_in = found_in.orderBy(F.desc("total"), "term").limit(max_terms)
+    found_in = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).orderBy(F.desc("total"), "term").limit(max_terms)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.log((1 + n) / (1 + F.col("df"))) + 1
     weighted = tf.join(found_in.drop("total"), "term").select("doc", "term", (F.col("tf") * idf).alias("x"))
     norm = weighted.groupBy("doc").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    return (weighted.join(norm, "doc").groupBy("term").agg(F.sum(F.col("x") / F.col("norm")).alias("score"))
-            .orderBy(F.desc(F.round("score", 9)), F.desc("term")).limit(top)
-            .select(F.col("term").alias("Word"), F.round("score", 3).alias("Score")))
+    return weighted.join(norm, "doc").groupBy("term").agg(F.sum(F.col("x") / F.col("norm")).alias("score"))
+
+
+def _of_all(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+    """``h, score`` of every term, told apart by its 64-bit hash.
+
+    Documents are dealt by id into blocks of about ``BLOCK_CHARS``, so rows of one id meet. A block counts its terms once, packed a row a document, and asks the corpus
+    for each different term once: what is shuffled by term are the blocks' different terms, not those of the documents.
+    """
+    spark = docs.sparkSession
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(text)).alias("chars")).first()
+    n, blocks = size.n, max(1, (size.chars or 0) // BLOCK_CHARS)
+    block = F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int")
+
+    def packed(table: pa.Table) -> pa.Table:
+        lists, ids = table.column("terms").combine_chunks(), table.column("doc").combine_chunks().dictionary_encode(null_encoding="encode")
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(ids.indices.to_numpy(zero_copy_only=False), sizes)
+        order = np.lexsort((values, row))
+        row, values = row[order], values[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (values[1:] != values[:-1])
+        at = np.flatnonzero(new)
+        counts = np.diff(np.append(at, len(row))).astype(np.int32)
+        row, values = row[at], values[at]
+        bounds = np.searchsorted(row, np.arange(len(ids.dictionary) + 1)).tolist()
+        different, found_in = np.unique(values, return_counts=True)
+        held = [(values[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])] + [(different.tobytes(), found_in.astype(np.int32).tobytes())]
+        kinds = [*(("null" if x is None else "doc") for x in ids.dictionary.to_pylist()), "ask"]
+        return pa.table([pa.array([table.column("block")[0].as_py()] * len(kinds), pa.int32()), pa.array(kinds), pa.array([h for h, _ in held], pa.binary()),
+                         pa.array([c for _, c in held], pa.binary())], ["block", "kind", "hashes", "counts"])
+
+    def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, hashes, counts in zip(batch.column("block").to_pylist(), batch.column("hashes"), batch.column("counts")):
+                h = np.frombuffer(hashes.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), at, np.int32)), pa.array(h), pa.array(np.frombuffer(counts.as_buffer(), np.int32).astype(np.int64))],
+                                                 ["block", "h", "n"])
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        terms_, df = right.column("h").to_numpy(), right.column("df").to_numpy()
+        order = np.argsort(terms_)
+        terms_, idf = terms_[order], np.log((1 + n) / (1 + df[order])) + 1
+        hashes = [np.frombuffer(x.as_buffer(), np.int64) for x in left.column("hashes")]
+        counts = [np.frombuffer(x.as_buffer(), np.int32) for x in left.column("counts")]
+        row = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+        if not len(row):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], ["h", "score"])
+        at = np.searchsorted(terms_, np.concatenate(hashes))
+        x = np.concatenate(counts) * idf[at]
+        norm = np.sqrt(np.bincount(row, x * x, len(hashes)))
+        sums = np.bincount(at, x / norm[row], len(terms_))
+        held = np.bincount(at, minlength=len(terms_)) > 0
+        return pa.table([pa.array(terms_[held]), pa.array(sums[held])], ["h", "score"])
+
+    folder = shared_dir(spark, "terms")
+    rows = terms.select(block.alias("block"), "doc", F.transform("terms", lambda t: F.xxhash64(t)).alias("terms"))
+    rows.groupBy("block").applyInArrow(packed, "block int, kind string, hashes binary, counts binary").write.parquet(f"{folder}/packed")
+    made = spark.read.parquet(f"{folder}/packed")
+    made.where("kind = 'ask'").select("block", "hashes", "counts").mapInArrow(asks, "block int, h bigint, n bigint").write.parquet(f"{folder}/asks")
+    asked = spark.read.schema("block int, h bigint, n bigint").parquet(f"{folder}/asks")
+    answers = asked.select("block", "h").join(asked.groupBy("h").agg(F.sum("n").alias("df")), "h").select("block", "h", "df")
+    mine = made.where("kind = 'doc'").select("block", "hashes", "counts")
+    found = mine.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, "h bigint, score double")
+    return found.groupBy("h").agg(F.sum("score").alias("score"))

@@ -176,6 +176,29 @@ def test_keywords_by_hand(spark):
                    "up market": round(rare / norm, 3)}
 
 
+def test_keywords_of_several_blocks(spark, monkeypatch):
+    """Rows of one id are one document, a null id counts for the numbers of documents only, a null text is a document without terms."""
+    import math
+    from collections import Counter
+    monkeypatch.setattr(keywords, "BLOCK_CHARS", 10)
+    rows_ = [(1, "aa bb aa"), (1, "bb cc"), (2, "bb dd x"), (3, None), (None, "aa ee"), (4, "Cc aa bb"), (5, ""), *[(10 + i, f"bb w{i % 4} cc") for i in range(12)]]
+    tf = {}
+    for i, t in rows_:
+        w = [x.lower() for x in (t or "").split() if len(x) > 1]
+        tf.setdefault(i, Counter()).update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df = Counter(x for c in tf.values() for x in c)
+    want = Counter()
+    for i, c in tf.items():
+        weight = {x: k * (math.log((1 + len(rows_)) / (1 + df[x])) + 1) for x, k in c.items()}
+        norm = math.sqrt(sum(v * v for v in weight.values()))
+        if i is not None:
+            want.update({x: v / norm for x, v in weight.items()})
+    best = sorted(sorted(want.items(), reverse=True), key=lambda x: -round(x[1], 9))[:8]
+    got = keywords.top_keywords(spark.createDataFrame(rows_, "id int, t string"), "id", "t", top=8).collect()
+    assert [(r["Word"], r["Score"]) for r in got] == [(x, round(v, 3)) for x, v in best]
+    assert keywords.top_keywords(spark.createDataFrame([], "id int, t string"), "id", "t").collect() == []
+
+
 def test_latency_histogram(spark):
     log = spark.createDataFrame([(datetime(2024, 1, 1), "e", s) for s in [0.02] * 50 + [0.2] * 45 + [20.0] * 5],
                                 "ts timestamp_ntz, endpoint string, seconds double")
