@@ -13,7 +13,9 @@ import sys
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +30,9 @@ VOID_TAGS = frozenset(  # fixed values: tags that never have content
     "area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset(["script", "style", "template"])  # fixed values: text that is never shown
 
+#: Bytes of bodies, and bodies, whose outlines are built at a time; a longer body is worked on alone.
+RUN_BYTES, RUN_ROWS = 1 << 20, 1000
+
 OUTLINE_TYPE = pa.struct([
     ("tags", pa.list_(pa.struct([
         ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
@@ -90,11 +95,23 @@ def outline_one(body: str, walker: _Walker | None = None) -> dict:
     return {"tags": walker.tags, "texts": walker.texts, "silent": walker.silent}
 
 
-@F.arrow_udf(from_arrow_type(OUTLINE_TYPE))
-def _outline(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def outlines(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Outlines in runs of about ``RUN_BYTES`` of body each: tags as Python objects take many times the memory of their body, so only a run of them is held."""
     walker = _Walker(convert_charrefs=True)
     for batch in bodies:
-        yield pa.array([None if b is None else outline_one(b, walker) for b in batch.to_pylist()], type=OUTLINE_TYPE)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < len(batch):
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + RUN_BYTES, "right")))
+            end = min(end, start + RUN_ROWS)
+            yield pa.array([None if b is None else outline_one(b, walker) for b in batch.slice(start, end - start).to_pylist()], type=OUTLINE_TYPE)
+            start = end
+
+
+@F.arrow_udf(from_arrow_type(OUTLINE_TYPE))
+def _outline(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    yield from outlines(bodies)
 
 
 def outline(body: Column) -> Column:
