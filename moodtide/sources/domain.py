@@ -14,6 +14,8 @@ from moodtide.session import pin_utc
 
 # Event type -> id of the source whose posts it stands for.
 SOURCE_IDS = {"signup": 1, "click": 2, "view": 3, "purchase": 4, "error": 5}
+#: Rows of a task that spends long on each row.
+TASK_ROWS = 20_000
 SOURCE_ROWS = [(1, "ptt"), (2, "cnyes"), (3, "reddit"), (4, "cnn"), (5, "wsj")]
 
 
@@ -31,10 +33,11 @@ class Desk:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table for jobs that spend long on each row: when its files make fewer tasks than there are cores, the rows
-        are dealt out evenly first. A table of many files is read as it lies, without a shuffle."""
-        df, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        """A table for jobs that spend long on each row: when its files make fewer tasks than there are cores, or than its
+        rows fill, the rows are dealt out evenly first. A table of many files is read as it lies, without a shuffle."""
+        df = self.table(name)
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))  # the count is in the files' footers
+        return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
     # -- reference data ---------------------------------------------------------
     def sources(self) -> DataFrame:
@@ -91,7 +94,7 @@ class Desk:
 
     def raw_articles(self) -> DataFrame:
         """Append-only deliveries: every post once, posts of high value a second time a day later."""
-        events = self.table("events").withColumn(
+        events = self.spread("events").withColumn(
             "delivery", F.explode(F.when(F.col("value") > 90, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
         again = F.col("delivery") == 2
         kind = F.col("event_type")

@@ -2,13 +2,15 @@
 
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from moodtide.functions import html
 from moodtide.functions.html import html_to_text, outline_one
 from moodtide.plans import repair
 from moodtide.operators import quality
-from moodtide.sources import feeds, landing, parsers
+from moodtide.sources import domain, feeds, landing, parsers
 
 LONG = "x" * 60
 
@@ -20,6 +22,22 @@ def page(spark, html, source="cnn", job=parsers.news_page, **extra):
     return job(*args, **extra).head()
 
 
+def test_outlines_come_in_runs_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(html, "RUN_BYTES", 100)
+    bodies = [*["<p>x</p>"] * 50, None, "<p>" + "y" * 500 + "</p>", "", *["<b>z</b>"] * 3]
+    runs = list(html.outlines(iter([pa.array(bodies, pa.string()), pa.array([], pa.string())])))
+    assert len(runs) > 5 and max(len(r) for r in runs) <= 13
+    assert [r for run in runs for r in run.to_pylist()] == pa.array([None if b is None else outline_one(b) for b in bodies], html.OUTLINE_TYPE).to_pylist()
+
+
+def test_tables_are_spread_by_their_rows(spark, tmp_path, monkeypatch):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(domain, "TASK_ROWS", 20)
+    desk = domain.Desk(spark, str(tmp_path))
+    assert desk.spread("events").rdd.getNumPartitions() >= 50
+    assert sorted(r.id for r in desk.spread("events").collect()) == list(range(1000))
+
+
 def test_outline_keeps_unclosed_tags_open():
     o = outline_one("<div>a<p>b<p>c</p>d</div>e<br>f<script>var x='</p>'</script>")
     got = {(t["tag"], "".join(o["texts"][t["lo"]:t["hi"]])) for t in o["tags"]}
