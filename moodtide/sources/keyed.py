@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodtide.operators.dedup import earliest, latest
 from moodtide.session import shared_dir
@@ -31,6 +32,8 @@ FILTER_BITS = 10
 PROBES = 7
 #: Rows from which a unit has a filter; below, reading the unit costs no more than reading a filter.
 LEAST_FILTERED = 1000
+#: Keys of a part of a filter, about: parts are asked one by one, so neither a unit nor a batch is ever one row.
+PART_KEYS = 1 << 14
 #: Units of a bucket beyond which a merge that touches it writes it as one.
 MOST_UNITS = 8
 
@@ -126,7 +129,13 @@ class KeyedTable:
         """The rows of all units, or of those with the given (bucket, folder)."""
         wanted = None if units is None else set(units)
         paths = [f"{self.path}/data/{r.folder}/bucket={r.bucket}" for r in self.manifest(version).units if wanted is None or (r.bucket, r.folder) in wanted]
-        return self.spark.read.schema(self._schema()).parquet(*paths) if paths else self.spark.createDataFrame([], self._schema())
+        return self.spark.read.schema(self._schema()).parquet(*paths) if paths else self._none()
+
+    def _none(self) -> DataFrame:
+        """No rows, in a way that joins with them are planned away."""
+        schema = self._schema()
+        fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+        return self.spark.range(1).where("false").select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
     def _schema(self):
         """The columns the table was declared with, or else those of its files."""
@@ -159,29 +168,49 @@ class KeyedTable:
     def _bit(at: Column) -> Column:
         return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
 
+    @staticmethod
+    def _parts(keys: int) -> int:
+        """A power of two: the parts of so many keys."""
+        return 1 << max(0, -(-keys // PART_KEYS) - 1).bit_length()
+
+    @staticmethod
+    def _part(key: Sequence[Column], parts: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(3), *key), parts.cast("bigint")).cast("int")
+
     def _write_filters(self, rows: DataFrame, folder: str, counts: dict[int, int]) -> None:
-        """``bucket, bits`` for the buckets of one folder, built by a grouped OR: a row a set word, never a bucket's keys in one place."""
-        sized = self.spark.createDataFrame([(b, -(-n * FILTER_BITS // 64)) for b, n in counts.items()], "bucket int, words bigint")
+        """``bucket, part, parts, bits`` for the buckets of one folder, built by a grouped OR: a row a key is shuffled, and a part of a filter is one row."""
+        parts = {b: self._parts(n) for b, n in counts.items()}
+        sized = self.spark.createDataFrame([(b, parts[b], -(-n * FILTER_BITS // 64 // parts[b])) for b, n in counts.items()], "bucket int, parts int, words bigint")
         keyed = rows.select("bucket", *self.keys).join(F.broadcast(sized), "bucket")  # a row for each bucket
-        place = keyed.select("bucket", F.explode(F.array(*self._probes([F.col(c) for c in self.keys], F.col("words")))).alias("at"))
-        every = sized.select("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("words") - 1)).alias("word"), F.lit(0).cast("bigint").alias("bits"))
-        words = place.select("bucket", F.floor(F.col("at") / 64).alias("word"), self._bit(F.col("at")).alias("bits")).unionByName(every)
-        words = words.groupBy("bucket", "word").agg(F.bit_or("bits").alias("bits"))
-        words.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w")).select(
-            "bucket", F.transform("w", lambda w: w["bits"]).alias("bits")).write.mode("overwrite").parquet(f"{self.path}/filters/folder={folder}")
+        key = [F.col(c) for c in self.keys]
+        set_ = F.transform(F.array(*self._probes(key, F.col("words"))), lambda at: F.named_struct(F.lit("word"), F.floor(at / 64), F.lit("bits"), self._bit(at)))
+        all_ = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("words") - 1), lambda w: F.named_struct(F.lit("word"), w, F.lit("bits"), F.lit(0).cast("bigint")))
+        every = sized.select("bucket", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), all_.alias("x"))
+        place = keyed.select("bucket", "parts", self._part(key, F.col("parts")).alias("part"), set_.alias("x")).unionByName(every).repartition("bucket", "parts", "part")
+        words = place.select("bucket", "parts", "part", F.inline("x")).groupBy("bucket", "parts", "part", "word").agg(F.bit_or("bits").alias("bits"))
+        words.groupBy("bucket", "parts", "part").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w")).select(
+            "bucket", "part", "parts", F.transform("w", lambda w: w["bits"]).alias("bits")).write.mode("overwrite").parquet(f"{self.path}/filters/folder={folder}")
 
     def _is_filtered(self, unit: Unit) -> bool:
         return unit.rows >= self.least_filtered
 
-    def possible(self, keys: DataFrame) -> DataFrame:
-        """``bucket, folder`` and the keys in ``keys`` that this unit's filter does not rule out, for units with a filter. A bucket's keys meet each filter as one row."""
+    def possible(self, keys: DataFrame, most: int = 0) -> DataFrame:
+        """``bucket, folder`` and the keys in ``keys`` that this unit's filter does not rule out, for units with a filter.
+
+        The keys of a bucket, ``most`` of them at most if that is known, are dealt into slots, as many as the largest filter has parts or the keys fill; a slot meets its part
+        of each filter as one row.
+        """
         mine, units = keys.select(*self.keys).distinct(), [u for u in self._units() if self._is_filtered(u)]
         if not units:
             return mine.select(F.lit(0).alias("bucket"), F.lit("").alias("folder"), *self.keys).limit(0)
         held = self.spark.createDataFrame([(u.bucket, u.folder) for u in units], "bucket int, folder string")
-        filters = self.spark.read.schema("bucket int, bits array<bigint>, folder string").option("basePath", f"{self.path}/filters").parquet(
+        slots = max(self._parts(most), *[self._parts(u.rows) for u in units])
+        filters = self.spark.read.schema("bucket int, part int, parts int, bits array<bigint>, folder string").option("basePath", f"{self.path}/filters").parquet(
             *sorted({f"{self.path}/filters/folder={u.folder}" for u in units})).join(F.broadcast(held), ["bucket", "folder"], "left_semi")  # a row for each unit
-        groups = mine.withColumn("bucket", self.bucket_of()).groupBy("bucket").agg(F.collect_list(F.struct(*self.keys)).alias("mine"))
+        part, parts = F.coalesce("part", F.lit(0)), F.coalesce("parts", F.lit(1))
+        filters = filters.select("bucket", "folder", "bits", F.explode(F.sequence(part, F.lit(slots - 1), parts)).alias("slot"))
+        slot = self._part([F.col(c) for c in self.keys], F.lit(slots)).alias("slot")
+        groups = mine.select("*", self.bucket_of().alias("bucket"), slot).groupBy("bucket", "slot").agg(F.collect_list(F.struct(*self.keys)).alias("mine"))
 
         def passes(key: Column) -> Column:
             out = F.lit(True)
@@ -189,17 +218,17 @@ class KeyedTable:
                 out = out & (F.get("bits", F.floor(at / 64).cast("int")).bitwiseAND(self._bit(at)) != 0)
             return out
 
-        return groups.join(filters, "bucket").select("bucket", "folder", F.inline(F.filter("mine", passes)))
+        return groups.join(filters, ["bucket", "slot"]).select("bucket", "folder", F.inline(F.filter("mine", passes)))
 
     def may_hold(self, keys: DataFrame) -> list[tuple[int, str]]:
         """Units that may hold a key of ``keys``: some lines of the manifest."""
         units = self._units()
         if not units:
             return []
-        asked = {r[0] for r in keys.select(self.bucket_of().alias("bucket")).distinct().collect()}  # at most ``buckets`` numbers
+        asked = {r[0]: r[1] for r in keys.groupBy(self.bucket_of().alias("bucket")).count().collect()}  # at most ``buckets`` numbers
         found = {(u.bucket, u.folder) for u in units if u.bucket in asked and not self._is_filtered(u)}
         if any(u.bucket in asked and self._is_filtered(u) for u in units):
-            found |= {tuple(r) for r in self.possible(keys).select("bucket", "folder").distinct().collect()}
+            found |= {tuple(r) for r in self.possible(keys, max(asked.values())).select("bucket", "folder").distinct().collect()}
         return sorted(found)
 
     def known(self, keys: DataFrame) -> DataFrame:
@@ -252,8 +281,9 @@ class KeyedTable:
             self.schema = updates.schema
         if self.is_applied(sequence):
             return updates.limit(0)
-        one = earliest(self.absent(updates), self.keys, first_by)
-        fresh = self._settled(one.select(*updates.columns))
+        fresh = self._settled(earliest(updates, self.keys, first_by).select(*updates.columns))  # the batch is computed once
+        if self._units():
+            fresh = self._settled(self.absent(fresh.drop("bucket")))
         self._add(fresh, [], sequence)
         return fresh.drop("bucket")
 
@@ -292,8 +322,12 @@ class KeyedTable:
         if mine.isEmpty():
             return self._add(mine, [], sequence)
         held = self.may_hold(mine)
+        if not held:
+            columns = [f.name for f in self.read([]).schema]
+            fresh = mine.drop("bucket").select("*", F.lit(False).alias("_known"), *[F.lit(None).cast(f.dataType).alias(f"_old_{f.name}") for f in self.read([]).schema if f.name not in self.keys])
+            return self._add(self._settled(made(fresh).select(*columns)), [], sequence)
         unit = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/bucket=", 1).alias("_unit")
-        stored = self.read(held).select("*", unit) if held else self.read([]).withColumn("_unit", F.lit(""))
+        stored = self.read(held).select("*", unit)
         columns = [c for c in stored.columns if c != "_unit"]
         stored = stored.join(mine.select(*self._aside()), self._same(), "left_semi")
         old = stored.select(*[F.col(c).alias(f"_{c}" if c in self.keys else f"_old_{c}") for c in columns], F.lit(True).alias("_found"))

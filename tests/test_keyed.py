@@ -97,6 +97,31 @@ def test_filters_leave_out_units_without_the_keys(spark, table):
     assert every.select("id").distinct().count() == 400  # no key is ruled out by its own filter
 
 
+def test_filters_are_asked_in_parts(spark, table, monkeypatch):
+    """Units of one part and of several, asked by few and by many keys; a filter of before, without parts, is one part."""
+    monkeypatch.setattr(keyed, "PART_KEYS", 8)
+    for n in (40, 900):
+        table.insert_absent(frame(spark, [(n * 1000 + i, "a", i) for i in range(n)]), ["at"])
+    stored = spark.read.parquet(f"{table.path}/filters")
+    assert stored.groupBy("folder", "bucket").count().agg(F.max("count")).first()[0] >= 8
+    assert table.possible(table.read()).select("id").distinct().count() == 940
+    absent = frame(spark, [(i, "x", 0) for i in range(3000)])
+    assert table.possible(absent, 400).count() < 300 and table.absent(absent).count() == 3000
+    for u in table.manifest().units:
+        if u.rows >= 5:
+            assert stored.where((F.col("folder") == u.folder) & (F.col("bucket") == u.bucket)).agg(F.max("parts")).first()[0] == table._parts(u.rows)
+
+
+def test_an_inserted_batch_is_computed_once(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
+    for first in (0, 50):
+        batch = frame(spark, [(first + i, "a", i) for i in range(100)]).withColumn("v", mark("v"))
+        table.insert_absent(batch, ["at"])
+    assert seen.value == 200
+    assert table.read().count() == 150
+
+
 def test_buckets_of_many_units_become_one(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=1)
     for i in range(12):
