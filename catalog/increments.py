@@ -20,19 +20,23 @@ from moodtide.sources.keyed import KeyedTable
 from moodtide.streaming import jobs
 
 c = F.col
+#: Rows of a landed file, at least, when a go writes several.
+FILE_ROWS = 100_000
 
 
 # -- keyed tables --------------------------------------------------------------------------------
-def _deliveries(desk: Desk):
-    rows = staging.extract_articles(desk.raw_articles(), ["title", "push_count"]).where("url IS NOT NULL")
+def _deliveries(desk: Desk, of=None):
+    """Parsed deliveries, or those whose raw rows ``of`` holds for."""
+    raw = desk.raw_articles()
+    rows = staging.extract_articles(raw if of is None else raw.where(of), ["title", "push_count"]).where("url IS NOT NULL")
     return rows.select("url", "raw_id", "source_name", "title", "push_count", "ingested_at")
 
 
 def keyed_articles_table(desk: Desk) -> KeyedTable:
     """Three batches of deliveries, inserted if their address is unknown; the last one comes twice."""
-    table, rows = KeyedTable(desk.spark, shared_dir(desk.spark, "keyed"), ["url"], buckets=8, counter="raw_id"), _deliveries(desk)
+    table = KeyedTable(desk.spark, shared_dir(desk.spark, "keyed"), ["url"], buckets=8, counter="raw_id")
     for number in (0, 1, 2, 2):
-        table.insert_absent(rows.where(c("raw_id") % 3 == number), ["ingested_at", "raw_id"], sequence=number)
+        table.insert_absent(_deliveries(desk, c("raw_id") % 3 == number), ["ingested_at", "raw_id"], sequence=number)
     return table
 
 
@@ -158,11 +162,15 @@ def ledger_market_mart(desk: Desk):
 
 # -- streams over several batches --------------------------------------------------------------------------
 def _as_files(desk: Desk, rows, part, parts: int):
-    """``rows`` written in ``parts`` goes of one file, and a stream that takes one file a batch."""
-    folder = shared_dir(desk.spark, "landed")
+    """``rows`` written in ``parts`` goes, and a stream that takes what a go wrote as a batch: one file, or as many for each go as the smallest of them fills."""
+    folder, whole = shared_dir(desk.spark, "landed"), shared_dir(desk.spark, "landing")
+    rows.withColumn("_part", part).write.parquet(whole)
+    made = desk.spark.read.parquet(whole)
+    sizes = {r[0]: r[1] for r in made.groupBy("_part").count().collect()}  # a row for each go
+    files = max(1, min(sizes.get(number, 0) for number in range(parts)) // FILE_ROWS)
     for number in range(parts):
-        rows.where(part == number).coalesce(1).write.mode("append").parquet(folder)
-    return desk.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        made.where(c("_part") == number).drop("_part").repartition(files).write.mode("append").parquet(folder)
+    return desk.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 @query("stream_staging_folded", f"SELECT {_STG} FROM v_stg_articles")

@@ -62,8 +62,9 @@ class FactLedger:
                                                          F.col("push_count").cast("bigint").alias("push_count")).alias("came"))
         rated = (scores if scores is not None else empty).select(F.col("article_id").cast("bigint"), F.struct(F.col("score").try_cast(_SCORE).alias("score")).alias("rated"))
         gone = (withdrawn if withdrawn is not None else empty).select(F.col("article_id").cast("bigint"), F.lit(True).alias("gone"))
-        change = came.join(rated, "article_id", "full").join(gone, "article_id", "full")
-        before = self.posts.known(change) if self.posts.exists() else self.spark.createDataFrame([], POSTS)
+        came.join(rated, "article_id", "full").join(gone, "article_id", "full").write.mode("overwrite").parquet(f"{step}/change")  # read several times
+        change = self.spark.read.parquet(f"{step}/change")
+        before = self.posts.known(change) if self.posts.exists() else self.posts.read([])
         both = change.join(before.select("article_id", F.struct("posted", "fact_date", "source_id", "push_count", "score").alias("old")), "article_id", "left")
         side = lambda c: F.when(F.col("came").isNotNull(), F.col(f"came.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
         new = both.select(

@@ -6,9 +6,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import increments
 from moodtide.operators import monitoring
 from moodtide.plans import staging, warehouse
 from moodtide.plans.ledger import FactLedger
+from moodtide.session import shared_dir
+from moodtide.sources.domain import Desk
 from moodtide.streaming import jobs
 from moodtide.streaming.folded import FoldedLog
 
@@ -20,6 +23,15 @@ def payload(url, title):
     return f'{{"url":"{url}","title":"{title}","published_at":"2024-01-01"}}'
 
 
+def test_goes_of_several_files_are_a_batch_each(spark, folder, monkeypatch):
+    monkeypatch.setattr(increments, "FILE_ROWS", 20)
+    rows = spark.range(200).withColumn("v", F.col("id") * 2)
+    stream = increments._as_files(Desk(spark, folder), rows, F.col("id") % 2, 2)
+    got = []
+    jobs._run(stream, lambda batch, number: got.append(sorted(r.id for r in batch.collect())), shared_dir(spark, "checkpoint"))
+    assert got == [list(range(0, 200, 2)), list(range(1, 200, 2))]
+
+
 @pytest.fixture
 def landed(spark, tmp_path):
     """Three deliveries in three files; u1 comes again late, and once out of order."""
