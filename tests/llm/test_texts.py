@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,25 @@ def test_suffix_tree_in_many_blocks(spark, folder, monkeypatch):
     check_tree(docs, [tuple(r) for r in docs.collect()], lambda i: i % 7 == 2, F.col("doc_id") % 7 == 2, 4, 2.0)
 
 
+def test_suffix_tree_with_hot_contexts_and_many_numbers(spark, folder, monkeypatch):
+    """N-grams of contexts that are spread, and keys that are hashes, give the same scores; the session's settings stay."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", 9_000)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    kept = spark.conf.get(suffix_tree._CLEAN, "false")
+    want = sorted(map(tuple, suffix_tree.score_texts(docs, F.col("doc_id") % 7 == 2).collect()))
+    assert spark.conf.get(suffix_tree._CLEAN, "false") == kept
+
+    class Wide(suffix_tree._Block):
+        def _grams(self, where, context, hashes, numbers, to, size, most):
+            hot = np.where(size > 12, np.inf, 0)
+            return super()._grams(where, context, hashes, numbers, to, hot, most + (1 << 33))
+
+    monkeypatch.setattr(suffix_tree, "_Block", Wide)
+    got = sorted(map(tuple, suffix_tree.score_texts(docs, F.col("doc_id") % 7 == 2).collect()))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert [g[5:] for g in got] == [pytest.approx(w[5:], rel=1e-6, abs=1e-9) for w in want]
+
+
 @pytest.mark.parametrize("table", ["odd", "clashing"])
 def test_suffix_tree_of_odd_texts(request, table):
     check_tree(request.getfixturevalue(table), ODD_TEXTS, lambda i: i in (2, 10), F.col("doc_id").isin(2, 10))
@@ -92,6 +113,61 @@ def test_suffix_tree_keeps_contexts_by_count_in_a_large_corpus(spark):
         assert len(got) == 8 and {r.mean_depth for r in got} == {(0 + 1 + 1 + 1) / 4}
 
 
+def test_suffix_tree_moves_no_answer_twice(spark):
+    """Blocks and answers lie by block: the last step reads them where they are, whatever their sizes."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('a b c ', id % 3) AS text")
+    plan = suffix_tree.score_texts(docs, F.lit(False))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
+def test_suffix_tree_asks_little(monkeypatch):
+    """Contexts are asked by number, and n-grams only where the shorter ones in them came often enough."""
+    class Task:
+        get = staticmethod(lambda: type("T", (), {"partitionId": lambda self: 0})())
+
+    monkeypatch.setattr(suffix_tree, "TaskContext", Task)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.9))}" for _ in range(200)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array([False] * 300), pa.array(texts)], ["id", "held", "text"])
+    row = next(suffix_tree.tokenized(iter([batch]))).to_pylist()[0]
+    block, answer, told, asked = suffix_tree._Block(row, 2, 8), suffix_tree._bucket_answers(8, 2.0), {}, {}
+    total = different = 0
+    numbered = collections.Counter()
+    starts_of = lambda kind: np.cumsum([0, *(numbered[kind, b] for b in range(2))]).astype(np.uint64)
+
+    def tell(questions):
+        nonlocal total, different
+        table = suffix_tree._asked_table(questions)
+        for kind, n, keys in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "keys"))):
+            asked.setdefault(kind, []).append((n, len(keys)))
+        for bucket in set(table.column("bucket").to_pylist()):
+            for r in answer(table.filter(pa.array([b == bucket for b in table.column("bucket").to_pylist()]))).to_pylist():
+                if r["block"] < 0:
+                    total, different = total + r["total"] * (r["kind"] == suffix_tree.WORD), different + r["different"] * (r["kind"] == suffix_tree.WORD)
+                    numbered[r["kind"], r["bucket"]] = r["numbered"]
+                else:
+                    told[r["kind"], r["bucket"]] = r["told"]
+
+    tell(block.word_questions())
+    block.hear_words(told, total, different, starts_of(suffix_tree.WORD))
+    tell(block.pair_questions())
+    block.hear_pairs(told, starts_of(suffix_tree.PAIR))
+    tell(block.short_and_triple_questions())
+    block.hear_short_and_triples(told)
+    tell(block.long_questions())
+    sizes = {kind: [sum(x) for x in zip(*rows)] for kind, rows in asked.items()}
+    for kind in (suffix_tree.SHORT, suffix_tree.LONG):
+        assert sizes[kind][0] > 100 and sizes[kind][1] < 2 * sizes[kind][0]  # a hash takes some six bytes
+    for kind in (suffix_tree.PAIR, suffix_tree.TRIPLE):
+        assert sizes[kind][1] < 4 * sizes[kind][0]
+    words = [t.split() for t in texts]
+    count = collections.Counter(w for t in words for w in t)
+    pairs = collections.Counter(p for t in words for p in zip(t, [*t[1:], None]))
+    triples = {(a, b, c) for t in words for a, b, c in zip(t, t[1:], [*t[2:], None])}
+    assert sizes[suffix_tree.PAIR][0] == sum(count[a] >= 8 and (b is None or count[b] >= 2) for a, b in pairs) < len(pairs)
+    assert sizes[suffix_tree.TRIPLE][0] == sum(pairs[a, b] >= 8 and pairs[b, c] >= 2 for a, b, c in triples) < len(triples)
+
+
 # -- line dedup ----------------------------------------------------------------------------------
 def brute_lines(rows, least):
     """Rows are ordered by id and then by no more: ids in these tests are unique, but for equal rows."""
