@@ -3,7 +3,8 @@
 Candidates are dealt into blocks by a hash of their id, queries into blocks as well, and each pair of blocks is one group. Inside a group every
 dimension is a list sorted by its component. A query reads a list from the end at which its own component makes large
 products. What has been read gives each candidate a lower and an upper score; once fewer than ``CONTENDERS`` candidates can still reach the k-th
-lower bound, reading stops and their scores are resolved. All queries of a block read the same positions, so one pass serves them together.
+lower bound, reading stops and their scores are resolved. All queries of a block read the same positions, so one pass serves them together: with a list read
+down to a component, what a candidate adds at most is the larger of its own and that component, and the bounds of all pairs are two matrix products.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do null ids; an id that repeats counts once,
 with its smallest vector; only vectors of equal length meet; ties go to the smaller id; fewer candidates than k give all of them; a score beyond
@@ -13,7 +14,7 @@ with its smallest vector; only vectors of equal length meet; ties go to the smal
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,36 +47,24 @@ def nearest(ids: np.ndarray, xs: np.ndarray, query_ids: np.ndarray, qs: np.ndarr
         clip = lambda s: max(-1 << 63, min((1 << 63) - 1, int(s)))
         return [(int(q), int(ids[i]), clip(s[i])) for q, s in scores for i in sorted((i for i in range(n) if ids[i] != q), key=lambda i: (-s[i], ids[i]))[:k]]
     kind = np.float32 if most < 1 << 24 else np.float64
-    x, up_q = xs.astype(kind), np.maximum(qs, 0).astype(kind)
-    down_q = np.minimum(qs, 0).astype(kind)
-    lists = np.argsort(x, axis=0, kind="stable")
-    high, low = x.max(axis=0), x.min(axis=0)
-    unread = np.ones((n, 2 * dims), kind)  # of the lists read from the top, then of those read from the bottom
-    seen = np.zeros((n, len(qs)), kind)
+    x, order = xs.astype(kind), np.sort(xs.astype(kind), axis=0)
+    both = np.concatenate([np.maximum(qs, 0), np.minimum(qs, 0)], axis=1).astype(kind)  # for lists read from the top, and from the bottom
+    high, low = order[-1], order[0]
+    by_id = np.argsort(ids)
+    at = by_id[np.minimum(np.searchsorted(ids[by_id], query_ids), n - 1)]
+    own = np.where(ids[at] == query_ids, at, -1)
     active = np.arange(len(qs))
-    own = {int(i): r for r, i in enumerate(ids)}
     out: list[tuple[int, int, int]] = []
-    depth = 0
     for part in DEPTHS:
-        to = n if part == 1 else max(depth, int(n * part))
-        for d in range(dims):
-            top, bottom = lists[n - to:n - depth, d], lists[depth:to, d]
-            seen[top] += x[top, d][:, None] * up_q[:, d]
-            seen[bottom] += x[bottom, d][:, None] * down_q[:, d]
-            unread[top, d] = 0
-            unread[bottom, dims + d] = 0
-        depth = to
-        worst = np.concatenate([up_q * low, down_q * high], axis=1)
+        depth = max(1, int(n * part))
         if depth < n:
-            at_top, at_bottom = x[lists[n - depth - 1], range(dims)], x[lists[depth], range(dims)]
-            best = np.concatenate([up_q * at_top, down_q * at_bottom], axis=1)
+            top, bottom = order[n - depth], order[depth - 1]
+            lower = both[active] @ np.concatenate([np.where(x >= top, x, low), np.where(x <= bottom, x, high)], axis=1).T
+            upper = both[active] @ np.concatenate([np.maximum(x, top), np.minimum(x, bottom)], axis=1).T
         else:
-            best = worst
-        lower = (seen + unread @ worst.T).T
-        upper = (seen + unread @ best.T).T
-        for row, q in enumerate(active):
-            if (self_ := own.get(int(query_ids[q]))) is not None:
-                lower[row, self_] = upper[row, self_] = -np.inf
+            lower = upper = (both[active, :dims] + both[active, dims:]) @ x.T
+        here = np.flatnonzero(own[active] >= 0)
+        lower[here, own[active[here]]] = upper[here, own[active[here]]] = -np.inf
         bound = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(active), -np.inf, kind)
         can = (upper >= bound[:, None]) & (upper > -np.inf)
         done = (can.sum(axis=1) <= CONTENDERS) | (depth == n)
@@ -85,10 +74,9 @@ def nearest(ids: np.ndarray, xs: np.ndarray, query_ids: np.ndarray, qs: np.ndarr
             scores = xs[rows] @ qs[q]  # whole numbers
             for i in np.lexsort((ids[rows], -scores))[:k]:
                 out.append((int(query_ids[q]), int(ids[rows[i]]), int(scores[i])))
-        keep = ~done
-        if not keep.any():
+        active = active[~done]
+        if not len(active):
             break
-        active, seen, up_q, down_q = active[keep], seen[:, keep], up_q[keep], down_q[keep]
     return out
 
 
@@ -103,14 +91,15 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vec_id:
     candidates = rows.select("id", "v", dims, deal(blocks, 1).alias("block"), every(groups).alias("group"))
     queries = rows.filter(is_query).select("id", "v", dims, deal(groups, 2).alias("group"), every(blocks).alias("block"))
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list = []
         if len(left) and len(right):
-            whole = [np.stack(f["v"].to_numpy()) for f in (left, right)]
-            found = nearest(left["id"].to_numpy(), whole[0], right["id"].to_numpy(), whole[1], k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+            ids = [t.column("id").to_numpy() for t in (left, right)]
+            whole = [t.column("v").combine_chunks().flatten().to_numpy().reshape(len(t), -1) if t.column("dims")[0].as_py() else np.zeros((len(t), 0), np.int64) for t in (left, right)]
+            found = nearest(ids[0], whole[0], ids[1], whole[1], k)
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], []))], ["query_id", "vec_id", "score"])
 
     keys = ["block", "group", "dims"]
-    found = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    found = candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
