@@ -96,11 +96,12 @@ def _letter_counts(spelled: np.ndarray) -> np.ndarray:
 def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places of words one edit apart. ``right`` holds words as long as those of ``left`` or one letter longer; ``same`` says that both are one tile."""
     x, y = _spelled(left), _spelled(right)
-    a, b = _letter_counts(x), _letter_counts(y)
     size = x.shape[1]
+    kind = np.float32 if 2 * (size + 1) ** 2 < 1 << 24 else np.float64  # sums of two squares below 2 ** 24 are exact in the short form
+    a, b = _letter_counts(x).astype(kind, copy=False), _letter_counts(y).astype(kind, copy=False)
     longer = y.shape[1] > size
     away = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-    i, j = np.nonzero(away == (1 if longer else 2))  # whole numbers below 2 ** 24 are exact
+    i, j = np.nonzero(away == (1 if longer else 2))
     if same:
         i, j = i[i < j], j[i < j]
     kept = []
