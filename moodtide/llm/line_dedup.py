@@ -270,9 +270,9 @@ def line_dedup(docs: DataFrame, least_words: int = LEAST_WORDS, doc_id: str = "d
     words = min(MAP_WORDS, max(64, 1 << (removed.count() // 4).bit_length()))
     word, bit = (lambda c: F.pmod(F.shiftrightunsigned(c, 6), F.lit(words)).cast("int")), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("mark").bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
     some = removed.select(word(F.col("mark")).alias("word"), bit.alias("bits")).unionByName(spark.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bits")))
-    table = some.groupBy("word").agg(F.bit_or("bits").alias("bits")).groupBy(F.lit(1).alias("one")).agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("map"))
-    table.write.parquet(f"{folder}/map")
-    told = keyed.withColumn("one", F.lit(1)).join(F.broadcast(spark.read.parquet(f"{folder}/map")), "one", "left")
+    table = some.groupBy("word").agg(F.bit_or("bits").alias("bits")).groupBy(F.lit(0).cast("bigint").alias("one")).agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("map"))
+    table.write.parquet(f"{folder}/map")  # one row, joined by a key of every text
+    told = keyed.withColumn("one", F.col("mark").bitwiseAND(F.lit(0).cast("bigint"))).join(F.broadcast(spark.read.parquet(f"{folder}/map")), "one", "left")
     met = F.coalesce(F.get("map", word(F.col("mark"))).bitwiseAND(bit) != 0, F.lit(False))
     d, r = told.where(met).select("_row_", "id", "mark").alias("d"), removed.alias("r")
     both = d.join(r.hint("merge"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.mark") == F.col("r.mark")), "left").select("_row_", "_gone_")
