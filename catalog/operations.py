@@ -163,8 +163,7 @@ class StreamDesk(Desk):
 
     def table(self, name: str):
         schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
-        return (self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                .parquet(self.folder))
+        return self.spark.readStream.schema(schema).parquet(f"{self.folder}/[{name[0]}]{name[1:]}.parquet")  # a pattern may name a file or a folder of files
 
 
 def _folders(desk: Desk, *names: str) -> list[str]:

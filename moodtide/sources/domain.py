@@ -35,9 +35,9 @@ class Desk:
     def spread(self, name: str) -> DataFrame:
         """A table for jobs that spend long on each row: when its files make fewer tasks than there are cores, or than its
         rows fill, the rows are dealt out evenly first. A table of many files is read as it lies, without a shuffle."""
-        df = self.table(name)
-        tasks = max(self.spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))  # the count is in the files' footers
-        return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+        df, stored = self.table(name), Desk.table(self, name)  # a desk of streams reads the same files, but cannot count them
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-stored.count() // TASK_ROWS))  # the count is in the files' footers
+        return df.repartition(tasks) if stored.rdd.getNumPartitions() < tasks else df
 
     # -- reference data ---------------------------------------------------------
     def sources(self) -> DataFrame:

@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import increments
+from catalog.operations import StreamDesk
 from moodtide.operators import monitoring
 from moodtide.plans import staging, warehouse
 from moodtide.plans.ledger import FactLedger
 from moodtide.session import shared_dir
+from moodtide.sources import domain
 from moodtide.sources.domain import Desk
 from moodtide.streaming import jobs
 from moodtide.streaming.folded import FoldedLog
@@ -32,6 +34,15 @@ def test_goes_of_several_files_are_a_batch_each(spark, folder, monkeypatch):
     assert got == [list(range(0, 200, 2)), list(range(1, 200, 2))]
 
 
+def test_streamed_tables_are_spread_like_stored_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(domain, "TASK_ROWS", 20)
+    rows = [(i, T0 + timedelta(hours=i), i, "click", float(i % 100), "{}") for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = []
+    jobs._run(StreamDesk(spark, str(tmp_path)).raw_articles(), lambda batch, number: got.append((batch.rdd.getNumPartitions(), sorted(batch.collect()))), shared_dir(spark, "checkpoint"))
+    assert [r for _, r in got] == [sorted(Desk(spark, str(tmp_path)).raw_articles().collect())] and got[0][0] >= 10
+
+
 @pytest.fixture
 def landed(spark, tmp_path):
     """Three deliveries in three files; u1 comes again late, and once out of order."""
