@@ -173,7 +173,7 @@ def top_keywords(desk: Desk):
 @query("corpus_keywords", "SELECT * FROM (WITH " + _TERMS.replace("{top}", "v_texts").replace("lower(title)", "lower(content)").replace("ORDER BY total DESC, term LIMIT 2000", "") + ")")
 def corpus_keywords(desk: Desk):
     """The same ranking over the whole texts of the whole corpus."""
-    return keywords.top_keywords(desk.texts(), "article_id", "content")
+    return keywords.top_keywords(desk.texts(spread=False), "article_id", "content")
 
 
 # -- sentiment against prices -------------------------------------------------------------------------

@@ -183,8 +183,9 @@ class Desk:
         )
 
     # -- texts and labels -------------------------------------------------------------
-    def texts(self) -> DataFrame:
-        return self.spread("documents").select(
+    def texts(self, spread: bool = True) -> DataFrame:
+        """Documents as posts; read as they lie for a job that deals them out itself."""
+        return (self.spread("documents") if spread else self.table("documents")).select(
             F.col("doc_id").alias("article_id"), F.element_at(F.split("text", "\n"), 1).alias("title"),
             F.col("text").alias("content"), F.col("source").alias("source_name"), "lang")
 

@@ -199,6 +199,25 @@ def test_keywords_of_several_blocks(spark, monkeypatch):
     assert keywords.top_keywords(spark.createDataFrame([], "id int, t string"), "id", "t").collect() == []
 
 
+def test_keywords_write_by_different_terms(spark, monkeypatch, tmp_path):
+    """What is written is a few bytes for each different term of a block, not for each term of each document."""
+    import random
+    monkeypatch.setattr(keywords, "shared_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    draw = random.Random(1)
+    docs = spark.createDataFrame([(i, " ".join(draw.choices([f"w{j}" for j in range(60)], k=300))) for i in range(2000)], "id int, t string").repartition(4)
+    assert keywords.top_keywords(docs, "id", "t").count() == 20
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 1_000_000
+
+
+def test_keywords_in_few_documents_are_not_left_out(spark, monkeypatch):
+    """Frequent terms go first; when their scores do not prove that rarer ones are worse, these are added up as well."""
+    monkeypatch.setattr(keywords, "FIRST_TERMS", 40)
+    rows_ = [(i, " ".join(["same"] * (i % 3) + [f"w{(i * k) % 50}" for k in range(1, 9)])) for i in range(120)] + [(None, "same only here"), (500, "alone"), (501, None)]
+    docs = spark.createDataFrame(rows_, "id int, t string")
+    for top in (5, 5000):
+        assert keywords.top_keywords(docs, "id", "t", top=top).collect() == keywords.top_keywords(docs, "id", "t", top=top, max_terms=10 ** 6).collect()
+
+
 def test_latency_histogram(spark):
     log = spark.createDataFrame([(datetime(2024, 1, 1), "e", s) for s in [0.02] * 50 + [0.2] * 45 + [20.0] * 5],
                                 "ts timestamp_ntz, endpoint string, seconds double")
